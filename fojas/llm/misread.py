@@ -31,3 +31,9 @@ def skeleton_text(text: str) -> str:
     for pair, one in STROKE_PAIRS:
         s = s.replace(pair, one)
     return s.translate(_TABLE)
+
+
+def skeleton_variants(text: str) -> list[str]:
+    """Skeletons under either way of undoing strokes that overlap, as in 'CLI'."""
+    late = text.upper().translate(_ACCENTS).replace("LI", "U").replace("II", "U")
+    return list(dict.fromkeys([skeleton_text(text), skeleton_text(late)]))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fojas.llm import consensus, survivor
+from fojas.llm import canonical, consensus, survivor
 
 
 def queries() -> dict:
@@ -12,6 +12,8 @@ def queries() -> dict:
         "p1_annotators": consensus.p1_annotators,
         "p6_found": survivor.p6_found,
         "p6_survivors": survivor.p6_survivors,
+        "p7_found": canonical.p7_found,
+        "p7_mapping": canonical.p7_mapping,
     }
 
 
