@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fojas.llm import canonical, consensus, survivor
+from fojas.llm import canonical, consensus, names, survivor
 
 
 def queries() -> dict:
@@ -10,6 +10,8 @@ def queries() -> dict:
         "p1_found": consensus.p1_found,
         "p1_consensus": consensus.p1_consensus,
         "p1_annotators": consensus.p1_annotators,
+        "p3_found": names.p3_found,
+        "p3_parties": names.p3_parties,
         "p6_found": survivor.p6_found,
         "p6_survivors": survivor.p6_survivors,
         "p7_found": canonical.p7_found,
