@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fojas.llm import canonical, consensus, names, survivor
+from fojas.llm import canonical, consensus, names, scanned, survivor
 
 
 def queries() -> dict:
@@ -10,6 +10,8 @@ def queries() -> dict:
         "p1_found": consensus.p1_found,
         "p1_consensus": consensus.p1_consensus,
         "p1_annotators": consensus.p1_annotators,
+        "p2_found": scanned.p2_found,
+        "p2_paragraphs": scanned.p2_paragraphs,
         "p3_found": names.p3_found,
         "p3_parties": names.p3_parties,
         "p6_found": survivor.p6_found,
