@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fojas.llm import canonical, consensus, names, scanned, survivor
+from fojas.llm import canonical, consensus, leakage, names, scanned, survivor
 
 
 def queries() -> dict:
@@ -18,6 +18,8 @@ def queries() -> dict:
         "p6_survivors": survivor.p6_survivors,
         "p7_found": canonical.p7_found,
         "p7_mapping": canonical.p7_mapping,
+        "p9_found": leakage.p9_found,
+        "p9_leaks": leakage.p9_leaks,
     }
 
 
