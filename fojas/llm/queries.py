@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fojas.llm import canonical, consensus, leakage, names, scanned, survivor
+from fojas.llm import canonical, consensus, leakage, names, packing, scanned, subjects, survivor
 
 
 def queries() -> dict:
@@ -18,8 +18,12 @@ def queries() -> dict:
         "p6_survivors": survivor.p6_survivors,
         "p7_found": canonical.p7_found,
         "p7_mapping": canonical.p7_mapping,
+        "p8_containers": packing.p8_containers,
+        "p8_fill": packing.p8_fill,
         "p9_found": leakage.p9_found,
         "p9_leaks": leakage.p9_leaks,
+        "p10_found": subjects.p10_found,
+        "p10_subjects": subjects.p10_subjects,
     }
 
 
