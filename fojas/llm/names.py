@@ -43,9 +43,9 @@ TRADES = {
 # Legal forms as they are written, without points and blanks.
 LEGAL = {"SA": "SA", "SOCIEDADANONIMA": "SA", "SPA": "SPA", "LTDA": "LTDA", "LIMITADA": "LTDA", "LTD": "LTDA", "EIRL": "EIRL"}
 NAME_FIELDS = ["nombre_proveedor", "nombre_comprador"]
-Q, ROWS = 3, 2
-#: Similarity of q-gram sets at which a pair must be met with the given probability.
-MUST_MEET, RECALL = 0.35, 0.99
+Q, ROWS = 3, 4
+#: Similarity of two words' q-gram sets (about one edit) at which they must meet with the given probability; unchanged words always meet.
+MUST_MEET, RECALL = 0.55, 0.9
 _FOLD = str.maketrans(ACCENTED, PLAIN)
 _PRIME = (1 << 61) - 1
 
@@ -177,6 +177,18 @@ class Parser:
         own = [w for w in p[2] if len(w) > 1]
         return own or [w for w in (p[1] if p[0] == "P" else (p[1],)) if len(w) > 1] or [name]
 
+    def units(self, name: str) -> list[str]:
+        """What is banded: each distinguishing word, and all of them run together."""
+        w = self.words(name)
+        return list(dict.fromkeys([*w, "".join(w)]))
+
+    def blocks(self, name: str) -> list[str]:
+        """Parts without which no similarity is above 0: a person's first initial, a firm's legal form (all forms where it is missing)."""
+        p = self.parts(name)
+        if p[0] == "F":
+            return ["F" + p[3]] if p[3] else ["F" + x for x in ("", *sorted(set(LEGAL.values())))]
+        return ["P" + p[1][0][0]] if p[1] else []
+
     def similarity(self, a: str, b: str) -> float:
         """Monge-Elkan similarity of the parts; 0 if some part speaks against one party."""
         p, q = self.parts(a), self.parts(b)
@@ -323,20 +335,29 @@ def link_names(names: DataFrame, accept: float = 0.8) -> DataFrame:
 
     def banded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            keys = [hasher.keys(qgrams(parser.words(t))) for t in b["name"]]
-            yield pd.DataFrame({"key": np.repeat(b["key"].to_numpy(), hasher.bands), "name": np.repeat(b["name"].to_numpy(), hasher.bands), "band": np.tile(np.arange(hasher.bands), len(b)), "h": [x for k in keys for x in k]})
-
-    buckets = cut(nodes.select("key", "name").mapInPandas(banded, "key string, name string, band int, h long"))
-    met = buckets.groupBy("band", "h").agg(F.count("*").alias("c")).where("c > 1").select("band", "h")
-    live = buckets.join(met, ["band", "h"], "left_semi")
-    pairs = live.alias("x").join(live.alias("y"), F.expr("x.band = y.band and x.h = y.h and x.key < y.key")).select(F.col("x.key").alias("a"), F.col("y.key").alias("b"), F.col("x.name").alias("p"), F.col("y.name").alias("q")).distinct()
+            ids, hs = [], []
+            for i, t in zip(b["node"], b["name"]):
+                keys = {x for u in parser.units(t) for x in enumerate(hasher.keys(qgrams([u])))}
+                for block in parser.blocks(t):
+                    salt = zlib.crc32(block.encode())
+                    hs += [(k * 1_000_003 + salt) * 4_294_967_296 % _PRIME + h for k, h in keys]
+                    ids += [i] * len(keys)
+            yield pd.DataFrame({"node": np.array(ids, "int64"), "h": np.array(hs, "int64")})
+
+    numbered = cut(nodes.withColumn("node", F.xxhash64("key")))
+    buckets = cut(numbered.select("node", "name").mapInPandas(banded, "node long, h long"))
+    met = buckets.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
+    live = buckets.join(met, "h", "left_semi")
+    pairs = live.alias("x").join(live.alias("y"), F.expr("x.h = y.h and x.node < y.node")).select(F.col("x.node").alias("m"), F.col("y.node").alias("n")).distinct()
+    named = numbered.select("node", "key", "name")
+    pairs = pairs.join(named.select(F.col("node").alias("m"), F.col("key").alias("a"), F.col("name").alias("p")), "m").join(named.select(F.col("node").alias("n"), F.col("key").alias("b"), F.col("name").alias("q")), "n")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             s = np.array([parser.similarity(p, q) for p, q in zip(b["p"], b["q"])])
             yield b.assign(s=s)[s >= accept][["a", "b", "s"]]
 
-    edges = cut(pairs.mapInPandas(verify, "a string, b string, s double"))
+    edges = cut(pairs.select("a", "b", "p", "q").mapInPandas(verify, "a string, b string, s double"))
     star = stars(nodes, edges)
     named = star.join(nodes.select(F.col("key").alias("center"), F.col("name").alias("parte")), "center")
     return keyed.join(named, "key").select("nombre", "parte")
