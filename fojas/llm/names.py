@@ -30,7 +30,7 @@ NICKNAMES = {
     "CHENCHO": "VICENTE", "CONCHITA": "CONCEPCION", "CONCHA": "CONCEPCION", "CONI": "CONCEPCION", "FENA": "FERNANDA", "FER": "FERNANDA", "NANDA": "FERNANDA", "LALO": "EDUARDO",
     "LOLA": "DOLORES", "LOLITA": "DOLORES", "MANOLO": "MANUEL", "MANU": "MANUEL", "LOLO": "MANUEL", "MARUJA": "MARIA", "MARI": "MARIA", "MARICA": "MARIA",
     "NACHO": "IGNACIO", "PANCHO": "FRANCISCO", "PACO": "FRANCISCO", "KIKO": "FRANCISCO", "CURRO": "FRANCISCO", "PEPE": "JOSE", "PEPITO": "JOSE", "CHEPE": "JOSE",
-    "PATO": "PATRICIO", "TITIN": "HUMBERTO", "BETO": "ALBERTO", "TITO": "ALBERTO", "YOLI": "YOLANDA", "YOLA": "YOLANDA", "QUIQUE": "ENRIQUE", "KIKE": "ENRIQUE",
+    "PATO": "PATRICIO", "TITIN": "HECTOR", "BETO": "ALBERTO", "TITO": "ROBERTO", "YOLI": "YOLANDA", "YOLA": "YOLANDA", "QUIQUE": "ENRIQUE", "KIKE": "ENRIQUE",
     "MEMO": "GUILLERMO", "GUILLE": "GUILLERMO", "WILLY": "GUILLERMO", "DANI": "DANIEL", "LUCHO": "LUIS", "LUCHITO": "LUIS", "TERE": "TERESA", "TETE": "TERESA",
     "JANA": "ALEJANDRA", "ALE": "ALEJANDRA", "JANI": "ALEJANDRA", "XIME": "XIMENA", "CLAUDI": "CLAUDIA", "NORMI": "NORMA", "JULI": "JULIA", "ROBER": "ROBERTO", "TOTI": "ROBERTO",
     "TITA": "NORMA", "CHIMENA": "XIMENA", "TOR": "HECTOR", "HECTITO": "HECTOR", "TOÑO": "ANTONIO", "CARLITOS": "CARLOS", "CHARLY": "CARLOS", "ROSI": "ROSA", "ANITA": "ANA",
