@@ -136,7 +136,7 @@ def document_date(c: Column) -> Column:
     """Raw date: on a labelled line or the three after it, else on any line; due dates aside."""
 
     def of(rows: Column) -> Column:
-        dates = F.transform(rows, lambda x: F.when(has(x, DUE_DATE), "").otherwise(first_filled(F.array(*[found(x, p) for p in DATES]))))
+        dates = F.transform(rows, lambda x: F.when(~x.rlike(r"\d.*\d{2}") | x.rlike(DUE_DATE), "").otherwise(first_filled(F.array(*[found(x, p) for p in DATES]))))
 
         def pick(dates: Column) -> Column:
             labelled = F.transform(rows, lambda x, i: F.when(has(x, DATE_LABEL) & ~has(x, DUE_DATE), first_filled(F.slice(dates, i + 1, 4))).otherwise(""))
@@ -538,9 +538,13 @@ def tax_amount(c: Column) -> Column:
         below = F.transform(rows, good)
 
         def pick(below: Column) -> Column:
-            per = F.flatten(
-                F.transform(rows, lambda x, i: F.flatten(F.array(*[F.when(has(x, label), F.concat(F.array(good(F.regexp_replace(x, rx(f"(?s)^.*?(?:{label})"), ""))), F.slice(below, i + 2, 3))).otherwise(F.array().cast("array<bigint>")) for label in TAX_LABELS])))
-            )
+            # every label has V and A, so other lines need no pattern
+            named = F.filter(F.transform(rows, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: s["x"].rlike(r"V\.?A"))
+
+            def beside(s: Column) -> Column:
+                return F.flatten(F.array(*[F.when(has(s["x"], label), F.concat(F.array(good(F.regexp_replace(s["x"], rx(f"(?s)^.*?(?:{label})"), ""))), F.slice(below, s["i"] + 2, 3))).otherwise(F.array().cast("array<bigint>")) for label in TAX_LABELS]))
+
+            per = F.flatten(F.transform(named, beside))
             return F.get(F.filter(per, lambda n: n.isNotNull()), F.lit(0))
 
         return let(below, pick)
@@ -554,16 +558,16 @@ def total_amount(c: Column) -> Column:
     def of(rows: Column) -> Column:
         net, tax = F.coalesce(net_amount(c), F.lit(0)), F.coalesce(tax_amount(c), F.lit(0))
         last = F.array_max(F.transform(rows, lambda x, i: F.when(has(x, TOTAL_LABEL), i)))
-        words = first_filled(F.transform(rows, lambda x, i: F.when(F.contains(x, F.lit("SON")), F.coalesce(number_words(F.concat_ws(" ", x, F.get(rows, i + 1), F.get(rows, i + 2))).cast("string"), F.lit(""))).otherwise("")))
 
         def pick(s: Column) -> Column:
             near = F.transform(F.slice(rows, F.greatest(s["k"] - 2, F.lit(1)), F.least(s["k"] + 3, F.lit(6)) + F.lit(1)), lambda x: F.translate(F.regexp_extract(x, r"(\d{1,3}(?:\.\d{3})+)", 1), ".", "").try_cast("long"))
             most = F.greatest(s["net"], s["tax"])
             around = F.get(F.filter(near, lambda n: F.abs(n - (s["net"] + s["tax"])) <= 100), F.lit(0))
-            spoken = s["words"].try_cast("long")
-            return F.coalesce(F.when(s["k"].isNotNull(), F.coalesce(F.array_max(F.filter(near, lambda n: n > most)), around)), F.when(spoken > most, spoken))
+            # words are read only where no amount was found
+            spoken = F.filter(F.transform(rows, lambda x, i: F.when(F.contains(x, F.lit("SON")), number_words(F.concat_ws(" ", x, F.get(rows, i + 1), F.get(rows, i + 2))))), lambda n: n > most)
+            return F.coalesce(F.when(s["k"].isNotNull(), F.coalesce(F.array_max(F.filter(near, lambda n: n > most)), around)), F.get(spoken, F.lit(0)))
 
-        return let(F.struct(net.alias("net"), tax.alias("tax"), last.alias("k"), words.alias("words")), pick)
+        return let(F.struct(net.alias("net"), tax.alias("tax"), last.alias("k")), pick)
 
     return let(full_lines(upper(c)), of)
 

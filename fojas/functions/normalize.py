@@ -128,4 +128,4 @@ def normalize_field(campo: Column, valor: Column) -> Column:
 
 def publish_date(c: Column) -> Column:
     """DD-MM-YYYY turned to YYYY-MM-DD if it has three parts and ends in a year; anything else stays (NRM9)."""
-    return F.when(c.rlike(r"^[^-]*-[^-]*-.{4}$") & ~F.regexp_extract(c, r"-([^-]*)$", 1).rlike("^.{0,3}$"), F.regexp_replace(c, r"^([^-]*)-([^-]*)-([^-]*)$", "$3-$2-$1")).otherwise(c)
+    return F.regexp_replace(c, r"^([^-]*)-([^-]*)-([^-]{4})$", "$3-$2-$1")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fojas.functions.fixed import COMMON_MAKES, VALID_COLOURS, VALID_DOCUMENT_TYPES, VALID_UNITS, YEAR_SIGNS
 from fojas.functions.reading import let
-from fojas.functions.text import rx, strip
+from fojas.functions.text import strip
 
 DIGITS = ["tipo_doc", "numero_documento", "asientos", "puertas", "potencia_motor", "ejes", "cilindrada", "cit", "serie", "pbv", "n_motor"]
 LETTERS = {"marca": 2, "transmision": 2, "combustible": 2, "tipo_carroceria": 2, "traccion": 2, "color": 3, "placa_patente": 3, "unidad_pbv": 1}
@@ -97,7 +97,7 @@ def score_value(campo: Column, valor: Column, year: int, rules: str = "effective
         )
 
     body = strict if rules == "strict" else of
-    return F.when(F.coalesce(valor, F.lit("")) == "", 0.0).otherwise(let(F.regexp_replace(valor, rx(r"^\s+|\s+$"), ""), body))
+    return F.when(F.coalesce(valor, F.lit("")) == "", 0.0).otherwise(let(strip(valor), body))
 
 
 def score_reading(campo: Column, valor: Column, metodo: Column, year: int, rules: str = "effective") -> Column:

@@ -13,6 +13,7 @@ from fojas.functions.fuzzy import fuzzy_fields
 from fojas.functions.text import clean_value, first_filled, footer, header_and_body, longest_first, normalize_text
 from fojas.operators.eav import wide_to_eav
 from fojas.schema import FIELDS
+from fojas.session import spread
 
 
 @dataclass
@@ -57,7 +58,7 @@ def extract_wide(texts: DataFrame, dictionaries: Dictionaries | None = None, col
     d = dictionaries or Dictionaries()
     fields = fields or FIELDS
     parts = header_and_body(F.col(column))
-    framed = texts.withColumn("_p", parts).withColumns({"_cabecera": F.col("_p.cabecera"), "_cuerpo": F.col("_p.cuerpo"), "_pie": footer(F.col(column)), "_texto": F.coalesce(F.col(column), F.lit(""))})
+    framed = spread(texts).withColumn("_p", parts).withColumns({"_cabecera": F.col("_p.cabecera"), "_cuerpo": F.col("_p.cuerpo"), "_pie": footer(F.col(column)), "_texto": F.coalesce(F.col(column), F.lit(""))})
 
     def value(name: str) -> Column:
         segment, build, cleaned = EXTRACTORS[name]
