@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from fojas.functions.reading import ACCENTED, PLAIN, canonical_field, plain_upper
 from fojas.llm.misread import skeleton_text, skeleton_variants
-from fojas.session import read_table
+from fojas.session import read_table, spread
 
 # Abbreviations in use for words of colours, places and makes.
 ABBREVIATIONS = {
@@ -177,7 +177,7 @@ def map_values(rows: DataFrame, entries: dict[str, list[str]], keep: list[str])
             yield b.assign(termino=[g[0] for g in got], distancia=[g[1] for g in got], candidatos=[g[2] for g in got])
 
     kept = rows.where(F.trim(F.regexp_replace("valor", r"[\s ]+", " ")) != "").select(*keep, "campo", "valor")
-    return kept.mapInPandas(run, out)
+    return spread(kept).mapInPandas(run, out)
 
 
 def dictionary(spark, folder: str, name: str, column: str) -> list[str]:

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 
 from fojas.llm.scanned import bone
-from fojas.session import read_table
+from fojas.session import read_table, spread
 
 #: Words of a fingerprinted window; a run of 20 words with one changed word holds an unchanged window.
 WINDOW = 8
@@ -237,7 +237,7 @@ def leaked_items(documents: DataFrame, items: DataFrame, id_column: str = "doc_i
             flush(group)
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "palabras", "acuerdo"])
 
-    return documents.select(id_column, column).mapInPandas(run, "doc_id long, item_id long, palabras int, acuerdo double")
+    return spread(documents.select(id_column, column)).mapInPandas(run, "doc_id long, item_id long, palabras int, acuerdo double")
 
 
 def p9_leaks(spark, folder: str) -> DataFrame:

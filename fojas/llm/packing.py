@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fojas.session import cut, read_table
+from fojas.session import cut, read_table, spread
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 #: Folder of the public tokenizers' files.
@@ -59,7 +59,7 @@ def token_counts(documents: DataFrame, folder: str = TOKENIZER_FOLDER, name: str
                 counts.append(n)
             yield pd.DataFrame({"doc_id": b[id_column], "tokens": np.array(counts, "int64")})
 
-    return documents.select(id_column, column).mapInPandas(run, "doc_id long, tokens long")
+    return spread(documents.select(id_column, column)).mapInPandas(run, "doc_id long, tokens long")
 
 
 def fullest(counts: dict[int, int], room: int) -> list[int]:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fojas.functions.reading import ACCENTED, PLAIN
-from fojas.session import read_table
+from fojas.session import read_table, spread
 
 CAMPO, CUERPO, PAGINA, CORTE = range(4)
 STATE_NAMES = ["campo", "cuerpo", "pagina", "corte"]
@@ -430,7 +430,7 @@ def marked_lines(texts: DataFrame, id_column: str = "id", column: str = "texto_e
                             kind.append(t)
             yield pd.DataFrame({"texto_id": np.array(ids, "int64"), "linea": np.array(at, "int64"), "tipo": np.array(kind, object)})
 
-    return texts.select(id_column, column).mapInPandas(run, "texto_id long, linea long, tipo string")
+    return spread(texts.select(id_column, column)).mapInPandas(run, "texto_id long, linea long, tipo string")
 
 
 def repaired(texts: DataFrame, id_column: str = "id", column: str = "texto_extraccion") -> DataFrame:
@@ -441,7 +441,7 @@ def repaired(texts: DataFrame, id_column: str = "id", column: str = "texto_extra
         for b in batches:
             yield pd.DataFrame({"texto_id": b[id_column], "parrafos": ["\n\n".join(tool.paragraphs(t)) if t else "" for t in b[column]]})
 
-    return texts.select(id_column, column).mapInPandas(run, "texto_id long, parrafos string")
+    return spread(texts.select(id_column, column)).mapInPandas(run, "texto_id long, parrafos string")
 
 
 def p2_found(spark, folder: str) -> DataFrame:
