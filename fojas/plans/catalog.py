@@ -19,7 +19,7 @@ from fojas.operators import dictionary as terms
 from fojas.operators.extraction import Dictionaries, extract_rows, extract_wide
 from fojas.plans.pipeline import score_fields
 from fojas.schema import FIELDS
-from fojas.session import read_table
+from fojas.session import read_table, spread
 from fojas.sources import sinks
 from fojas.streaming.intake import intake_sessions
 
@@ -193,7 +193,7 @@ def document_quality(spark, d):
     "SELECT doc_id, round(abs(log2(any_value(n)) - sum(k * log2(k)) / any_value(n)), 6) AS entropia FROM c JOIN n USING (doc_id) GROUP BY doc_id"
 )
 def text_entropy(spark, d):
-    return read_table(spark, d, "documents").select("doc_id", F.round(entropy(F.col("text")), 6).alias("entropia"))
+    return spread(read_table(spark, d, "documents")).select("doc_id", F.round(entropy(F.col("text")), 6).alias("entropia"))
 
 
 @query("SELECT t.id, t.documento_id, t.metodo, d.nombre_archivo FROM textos t JOIN documentos d ON d.id = t.documento_id WHERE d.estado = 3 AND d.deleted_at IS NULL AND t.deleted_at IS NULL")
@@ -239,17 +239,17 @@ LINES = r"replace(replace(replace(coalesce(texto_extraccion, ''), chr(13) || chr
     f"CASE WHEN cut <= length(t) // 2 THEN regexp_replace(' ' || {sql_strip('substr(t, cut + 1)')}, '\\s{{2,}}', ' ', 'g') ELSE {sql_strip('t')} END AS cuerpo FROM c"
 )
 def header_body(spark, d):
-    return read_table(spark, d, "textos").select("id", header_and_body(F.col("texto_extraccion")).alias("p")).select("id", "p.cabecera", "p.cuerpo")
+    return spread(read_table(spark, d, "textos")).select("id", header_and_body(F.col("texto_extraccion")).alias("p")).select("id", "p.cabecera", "p.cuerpo")
 
 
 @query(f"SELECT id, {sql_strip('CASE WHEN contains(t, $$[SEGMENTO_TOTALES]$$) THEN substr(t, instr(t, $$[SEGMENTO_TOTALES]$$)) ELSE t END')} AS pie FROM (SELECT id, coalesce(texto_extraccion, '') AS t FROM textos)")
 def footer_segment(spark, d):
-    return read_table(spark, d, "textos").select("id", footer(F.col("texto_extraccion")).alias("pie"))
+    return spread(read_table(spark, d, "textos")).select("id", footer(F.col("texto_extraccion")).alias("pie"))
 
 
 @query(f"SELECT id, list_aggregate(list_transform(string_split(t, chr(10)), lambda x, i: lpad(CAST(i AS VARCHAR), 4, '0') || ': ' || x), 'string_agg', chr(10)) AS lineas FROM (SELECT id, {LINES} AS t FROM textos)")
 def line_numbers(spark, d):
-    return read_table(spark, d, "textos").select("id", numbered_lines(F.col("texto_extraccion")).alias("lineas"))
+    return spread(read_table(spark, d, "textos")).select("id", numbered_lines(F.col("texto_extraccion")).alias("lineas"))
 
 
 @query("SELECT DISTINCT CAST(l_quantity AS BIGINT) AS cantidad, CAST(l_quantity AS BIGINT) * 1000 AS leido FROM lineitem")
@@ -270,7 +270,7 @@ def extraction(name: str, build: Callable[[Column], Column], sql: str | None = N
     """A query that reads one field from every whole text."""
 
     def run(spark, d):
-        return read_table(spark, d, "textos").select("id", build(F.col("texto_extraccion")).alias("valor"))
+        return spread(read_table(spark, d, "textos")).select("id", build(F.col("texto_extraccion")).alias("valor"))
 
     run.__name__ = f"extract_{name}"
     query(sql and f"SELECT id, {sql} AS valor FROM textos")(run)
@@ -324,7 +324,7 @@ def dictionaries(spark, d) -> Dictionaries:
 )
 def extract_comuna_comprador(spark, d):
     own = dictionaries(spark, d)
-    return read_table(spark, d, "textos").select("id", X.buyer_commune(F.col("texto_extraccion"), own.communes).alias("valor"))
+    return spread(read_table(spark, d, "textos")).select("id", X.buyer_commune(F.col("texto_extraccion"), own.communes).alias("valor"))
 
 
 @query()
@@ -340,7 +340,7 @@ def extract_all_rows(spark, d):
 @query()
 def extract_tipo_doc(spark, d):
     run = F.pandas_udf(lambda s: s.map(document_type_of), "string")
-    return read_table(spark, d, "textos").select("id", run(normalize_text(F.substring(F.coalesce("texto_extraccion", F.lit("")), 1, 415))).alias("valor"))
+    return spread(read_table(spark, d, "textos")).select("id", run(normalize_text(F.substring(F.coalesce("texto_extraccion", F.lit("")), 1, 415))).alias("valor"))
 
 
 @query()
@@ -351,7 +351,7 @@ def axles_similar(spark, d):
 
 @query()
 def report_codes(spark, d):
-    return read_table(spark, d, "textos").select("id", X.report_code(F.col("texto_extraccion"), F.lit(REPORT_CODE_PREFIXES[7][0])).alias("valor"))
+    return spread(read_table(spark, d, "textos")).select("id", X.report_code(F.col("texto_extraccion"), F.lit(REPORT_CODE_PREFIXES[7][0])).alias("valor"))
 
 
 @query(
