@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fojas.functions.reading import ACCENTED, PLAIN, canonical_field, plain_upper
-from fojas.llm.misread import skeleton_text, skeleton_variants
+from fojas.llm.misread import skeleton_text
 from fojas.session import read_table, spread
 
 # Abbreviations in use for words of colours, places and makes.
@@ -134,8 +134,8 @@ class Trie:
         most = allowed(len(text))
         found = self.search(self.root, text, most)
         if re.search(r"[0-9€+|]", text) or not found:
-            for bone in skeleton_variants(text):
-                found += self.search(self.bones, bone, min(1, allowed(len(bone))))
+            bone = skeleton_text(text)
+            found += self.search(self.bones, bone, min(1, allowed(len(bone))))
         if len(text) >= 3:
             found += self.below(text)
         if len(text) == 4 and not found:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fojas.functions.reading import ACCENTED, PLAIN, canonical_field
-from fojas.llm.misread import skeleton_text, skeleton_variants
+from fojas.llm.misread import skeleton_text
 from fojas.session import cut, read_table
 
 # Familiar forms of Spanish given names.
@@ -82,7 +82,7 @@ def word_similarity(a: str, b: str) -> float:
     """1 less the share of edits, on the spellings or their skeletons, whichever is nearer."""
     if a == b:
         return 1.0
-    if any(x == y for x in skeleton_variants(a) for y in skeleton_variants(b)):
+    if skeleton_text(a) == skeleton_text(b):
         return 0.98
     n = max(len(a), len(b))
     most = 1 if n < 5 else 2 if n < 9 else 3
@@ -116,9 +116,8 @@ class Parser:
             return NICKNAMES[w]
         if w in self.given:
             return w
-        for s in skeleton_variants(w):
-            if s in self.by_skeleton:
-                return self.by_skeleton[s]
+        if (s := skeleton_text(w)) in self.by_skeleton:
+            return self.by_skeleton[s]
         if len(w) >= 4:
             near = sorted((edits(w, g, 2), g) for g in self.given if abs(len(g) - len(w)) <= 2 and (g[0] == w[0] or g[-1] == w[-1]))
             if near and near[0][0] <= (1 if len(w) < 7 else 2):
@@ -146,7 +145,7 @@ class Parser:
         m = re.search(r"[ ,](SOCIEDAD ANONIMA|S\.? ?P\.? ?A|S\.? ?A|E\.? ?I\.? ?R\.? ?L|LTDA?|LIMITADA)\.?$", t)
         if m:
             legal, t = LEGAL[re.sub(r"[. ]", "", m[1])], t[: m.start()]
-        elif (last := t.rsplit(" ", 1)) and len(last) == 2 and len(last[1]) >= 6 and (edits(last[1], "LIMITADA", 2) <= 2 or "LIMITADA" in skeleton_variants(last[1])):
+        elif (last := t.rsplit(" ", 1)) and len(last) == 2 and len(last[1]) >= 6 and (edits(last[1], "LIMITADA", 2) <= 2 or skeleton_text("LIMITADA") == skeleton_text(last[1])):
             legal, t = "LTDA", last[0]
         head, comma, tail = t.partition(",")
         words = [w for w in re.split(r"[^A-Z0-9€+|]+", t) if w]

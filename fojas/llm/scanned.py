@@ -42,15 +42,14 @@ _LETTERS = "a-záéíóúüñA-ZÁÉÍÓÚÜÑ"
 _ODD = re.compile(r"[0-9€+$@|!]")
 
 
-_BONE_TABLE = str.maketrans({"h": "u", "l": "i", "1": "i", "|": "i", "!": "i", "0": "o", "€": "e", "3": "e", "5": "s", "$": "s", "4": "a", "@": "a", "6": "b", "8": "b", "9": "b", "g": "b", "7": "t", "+": "t", "2": "z"})
+_BONE_TABLE = str.maketrans({"1": "i", "|": "i", "!": "i", "0": "o", "€": "e", "3": "e", "5": "s", "$": "s", "4": "a", "@": "a", "6": "b", "8": "b", "9": "b", "g": "b", "7": "t", "+": "t", "2": "z"})
+# letters read as two are written out, which leaves no choice where strokes overlap ("cli" may be "cli", "di" or "ch")
+_WRITTEN_OUT = str.maketrans({"m": "rn", "d": "ci", "h": "ii", "u": "ii", "w": "vv", "l": "i"})
 
 
 def bone(word: str) -> str:
     """Skeleton of a word, equal for a word and its misreadings."""
-    s = word.lower().translate(_FOLD)
-    for pair, one in (("rn", "m"), ("cl", "d"), ("ii", "u"), ("li", "u"), ("vv", "w")):
-        s = s.replace(pair, one)
-    return s.translate(_BONE_TABLE)
+    return word.lower().translate(_FOLD).translate(_BONE_TABLE).translate(_WRITTEN_OUT)
 
 
 def misread_of(seen: str, word: str) -> bool:
@@ -82,7 +81,7 @@ def misread_of(seen: str, word: str) -> bool:
 class Lexicon:
     """Words of running text that the corpus vouches for, and the compounds it writes with a hyphen."""
 
-    def __init__(self, counts: dict[str, int], compounds: dict[str, int], ratio: float = 0.04):
+    def __init__(self, counts: dict[str, int], compounds: dict[str, int], ratio: float = 0.08):
         by_bone: dict[str, list[str]] = defaultdict(list)
         for w in counts:
             if not _ODD.search(w):
@@ -118,8 +117,9 @@ class Lexicon:
 def word_counts(texts: DataFrame, column: str) -> tuple[dict[str, int], dict[str, int]]:
     """Counts of the words and hyphened compounds inside lines of running text, over all rows, of those that make up at least SHARE."""
     lines = texts.select(F.explode(F.split(F.col(column), "\n")).alias("l")).where(F.col("l").rlike(r"(?:^|\s)[a-záéíóúüñ]{2,}\s.*[a-záéíóúüñ]{2,}"))
-    inner = F.slice("w", 2, F.greatest(F.size("w") - 2, F.lit(0)))
-    tokens = lines.select(F.split(F.trim("l"), r"\s+").alias("w")).select(F.explode(inner).alias("t")).select(F.lower(F.regexp_replace("t", rf"^[^{_LETTERS}0-9€+]+|[^{_LETTERS}0-9€+]+$", "")).alias("t"))
+    marks = ".,;:()[]\"¿?¡"
+    words = F.split(F.trim(F.lower(F.translate("l", marks + "\t\u000c", " " * (len(marks) + 2)))), " +")
+    tokens = lines.select(words.alias("w")).select(F.explode(F.slice("w", 2, F.greatest(F.size("w") - 2, F.lit(0)))).alias("t"))
     counted = tokens.where(F.length("t") > 0).groupBy("t").agg(F.count("*").alias("n"))
     total = counted.agg(F.sum("n")).first()[0] or 0
     kept = counted.where((F.col("n") >= max(3, int(total * SHARE))) & F.col("t").rlike(rf"^[{_LETTERS}]+(-[{_LETTERS}]+)?$")).collect()
