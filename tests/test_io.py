@@ -94,3 +94,13 @@ def test_sessions(spark):
     rows = [(1, base), (1, base + 3), (1, base + 60), (2, base), (2, None)]
     df = spark.createDataFrame(rows, "k int, s double").withColumn("ts", F.timestamp_seconds("s"))
     assert sorted(r["n"] for r in intake.intake_sessions(df, "k", "ts").collect()) == [1, 1, 2]
+
+
+def test_repeats_within_the_watermark(spark, tmp_path):
+    rows = [("h1", "a", "2024-01-01"), ("h1", "a", "2024-01-02"), ("h2", "b", "2024-01-01"), (None, "c", "2024-01-01"), (None, "c", "2024-01-01")]
+    df = spark.createDataFrame(rows, "hash_archivo string, nombre_archivo string, d string").select("hash_archivo", "nombre_archivo", F.to_timestamp("d").alias("created_at"))
+    df.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    q = intake.new_readings(stream).writeStream.format("memory").queryName("leidos").outputMode("append").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).start()
+    q.awaitTermination(180)
+    assert sorted(r["nombre_archivo"] for r in spark.table("leidos").collect()) == ["a", "b", "c"]
