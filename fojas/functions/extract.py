@@ -168,7 +168,9 @@ def supplier_name(c: Column) -> Column:
             pairs = F.transform(words, lambda w, i: F.concat(w, at(words, i + 1)))
             return ~F.exists(words, lambda w: w.isin(NOT_A_SUPPLIER)) & (F.exists(words, lambda w: w.isin(LEGAL_FORMS)) | F.exists(pairs, lambda w: w.isin(LEGAL_FORMS)))
 
-        return let(F.transform(F.split(x, rx(r"\s+")), lambda w: F.upper(F.regexp_replace(w, rx(r"\W"), ""))), of)
+        # a form or two words that make one stand in the run-together line
+        hopeful = F.upper(F.regexp_replace(x, "[^A-Za-z]", "")).rlike("|".join(LEGAL_FORMS))
+        return hopeful & let(F.transform(F.split(x, rx(r"\s+")), lambda w: F.upper(F.regexp_replace(w, rx(r"\W"), ""))), of)
 
     def of(rows: Column) -> Column:
         where = F.array_position(F.transform(rows, lambda x: has(F.upper(x), ID_NUMBER)), True)

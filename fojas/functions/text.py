@@ -94,6 +94,11 @@ def header_and_body(c: Column) -> Column:
 
     def of(t: Column) -> Column:
         rows = F.split(t, "\n")
+        # only a text that holds a body word needs its lines looked at
+        whole = F.struct(strip(t).alias("cabecera"), strip(t).alias("cuerpo"))
+        return F.when(F.upper(t).rlike(has_word), by_line(t, rows)).otherwise(whole)
+
+    def by_line(t: Column, rows: Column) -> Column:
         state = F.aggregate(
             rows,
             F.struct(F.lit(0).alias("at"), F.lit(-1).alias("cut")),
