@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fojas.functions.reading import ACCENTED, PLAIN, canonical_field, plain_upper
+from fojas.functions.reading import ACCENTED, PLAIN, canonical_field, strip_space
 from fojas.llm.misread import skeleton_text
 from fojas.session import read_table, spread
 
@@ -75,7 +75,7 @@ class Trie:
         self.root: dict = {}
         self.shapes: dict[str, list[str]] = {}
         for e in entries:
-            for path, cost in alias_paths(e):
+            for path, cost in alias_paths(e.upper().translate(_FOLD)):
                 node = self.root
                 for ch in path:
                     node = node.setdefault(ch, {})
@@ -182,7 +182,7 @@ def map_values(rows: DataFrame, entries: dict[str, list[str]], keep: list[str])
 
 def dictionary(spark, folder: str, name: str, column: str) -> list[str]:
     """Entries in upper case without outer blanks, each once; the list is collected, so its size is checked by the caller."""
-    rows = read_table(spark, folder, name).select(plain_upper(F.col(column)).alias("e")).where("e <> ''").distinct().orderBy("e").limit(MOST_ENTRIES + 1)
+    rows = read_table(spark, folder, name).select(F.upper(strip_space(F.col(column))).alias("e")).where("e <> ''").distinct().orderBy("e").limit(MOST_ENTRIES + 1)
     return [r["e"] for r in rows.collect()]
 
 

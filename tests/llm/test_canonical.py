@@ -10,6 +10,11 @@ from fojas.llm.names import edits
 COLOURS = ["AZUL", "AZUL MARINO", "BLANCO PERLA", "CELESTE", "NEGRO", "ROJO", "ROSADO", "MORADO", "VERDE OLIVA", "VERDE AGUA"]
 
 
+def test_entries_keep_their_accents():
+    t = C.Trie(["CAFÉ", "NIÑO AZUL"])
+    assert t.candidates("cafe")[0] == (0.0, "CAFÉ") and t.candidates("Café.")[0][1] == "CAFÉ" and t.candidates("azul nino")[0][1] == "NIÑO AZUL"
+
+
 def test_paths():
     t = C.Trie(COLOURS)
     want = {
