@@ -17,10 +17,11 @@ from fojas.functions.text import clean_value, entropy, footer, header_and_body,
 from fojas.operators import agreement, audit, consolidate, eav, register, state, units
 from fojas.operators import dictionary as terms
 from fojas.operators.extraction import Dictionaries, extract_rows, extract_wide
-from fojas.plans.pipeline import score_fields
+from fojas.plans.pipeline import below_minimum, score_fields
 from fojas.schema import FIELDS
 from fojas.session import read_table, spread
 from fojas.sources import sinks
+from fojas.sources.readers import Settings, enabled_texts
 from fojas.streaming.intake import intake_sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -519,6 +520,31 @@ def intake_names(spark, d):
     return register.intake_names(read_table(spark, d, "documentos")).select("id", "nombre_archivo")
 
 
+@query("SELECT CAST(estado AS VARCHAR) AS resultado, count(*) AS archivos, CAST(sum(tamano_bytes) AS BIGINT) AS bytes FROM documentos GROUP BY estado")
+def run_totals(spark, d):
+    return audit.run_totals(read_table(spark, d, "documentos").select(F.col("estado").cast("string").alias("resultado"), F.col("tamano_bytes").alias("bytes")))
+
+
+@query("SELECT id, campo, score FROM campos WHERE coalesce(score, 0.0) < 0.4")
+def below_minimum_score(spark, d):
+    return below_minimum(read_table(spark, d, "campos")).select("id", "campo", "score")
+
+
+@query(r"SELECT id, regexp_replace(valor, '^([^-]*)-([^-]*)-([^-]{4})$', '\3-\2-\1') AS fecha FROM campos WHERE campo = 'fecha_documento'")
+def publish_dates(spark, d):
+    return read_table(spark, d, "campos").where("campo = 'fecha_documento'").select("id", N.publish_date(F.col("valor")).alias("fecha"))
+
+
+@query(f"SELECT CAST(fecha AS VARCHAR) AS fecha, rpad(CAST(fecha AS VARCHAR), 12, ' ') || lpad(CAST(i AS VARCHAR), 10, ' ') || lpad(CAST(w AS VARCHAR), 10, ' ') || lpad(CAST(e AS VARCHAR), 10, ' ') AS linea FROM (SELECT fecha, count(*) FILTER (nivel = 'INFO') AS i, count(*) FILTER (nivel = 'WARNING') AS w, count(*) FILTER (nivel = 'ERROR') AS e FROM ({LOG}) GROUP BY fecha)")
+def log_summary_lines(spark, d):
+    return audit.day_summary(audit.level_per_day(audit.parse_log(event_log(spark, d)))).withColumn("fecha", F.col("fecha").cast("string"))
+
+
+@query(f"SELECT id FROM textos WHERE {sql_strip('coalesce(texto_extraccion, $$$$)')} <> '' AND metodo IN ('doctr', 'nativo')")
+def enabled_method_texts(spark, d):
+    return enabled_texts(read_table(spark, d, "textos"), Settings(methods=("doctr", "nativo"))).select("id")
+
+
 for _name, _f in (("p4_found", eav.p4_found), ("p4_wide", eav.p4_wide), ("p5_found", units.p5_found), ("p5_common_units", units.p5_common_units)):
     QUERIES[_name] = _f
 
