@@ -133,8 +133,11 @@ class Index:
             right.append(other[ok])
         return np.concatenate(left), np.concatenate(right)
 
-    def run(self, doc: list[str], item: list[str], p: int, q: int) -> tuple[int, float, int, int]:
-        """(words of the item covered, share of weight that agrees, first and last place in the item) of the run through doc[p] and item[q], single changed, missing, added, parted or joined words passed over."""
+    def run(self, doc: list[str], item: list[str], p: int, q: int, passed: set[int] | None = None) -> tuple[int, float, int, int]:
+        """(words of the item covered, share of weight that agrees, first and last place in the item) of the run through doc[p] and item[q], single changed, missing, added, parted or joined words passed over.
+
+        The places in the document of its agreeing words on the diagonal p - q are added to passed.
+        """
         same, other = 0.0, 0.0
         ends = []
         for step in (1, -1):
@@ -151,6 +154,8 @@ class Index:
                     other += pending
                     pending = 0.0
                     good = j
+                    if passed is not None and i - j == p - q:
+                        passed.add(i)
                     i, j = i + step, j + step
                 elif eq(i + step, j + step) and (eq(i + 2 * step, j + 2 * step) or eq(i + 3 * step, j + 3 * step)):
                     pending += self.weights.get(item[j], 1.0)
@@ -174,22 +179,23 @@ class Index:
         return last - first + 1, same / max(same + other, 1e-9), first, last
 
     def leaks(self, doc: list[str], places: np.ndarray, found: np.ndarray) -> list[tuple[int, int, float]]:
-        """(item, longest run, agreement) of the verified items of one document."""
-        lines: dict[tuple[int, int], tuple[int, int]] = {}
+        """(item, longest run, agreement) of the verified items of one document. Every seed is verified that no run found on its diagonal has passed."""
+        lines: dict[tuple[int, int], set[int]] = defaultdict(set)
         for p, x in zip(places.tolist(), found.tolist()):
-            q = int(self.place[x])
-            lines.setdefault((int(self.owner[x]), p - q), (p, q))
+            lines[int(self.owner[x]), p - int(self.place[x])].add(p)
         best: dict[int, tuple[int, float]] = {}
-        for (k, _), (p, q) in lines.items():
-            # start from a word of the window that agrees
+        for (k, shift), seeds in lines.items():
             item = self.items[k]
-            hit = next((s for s in range(self.window) if p + s < len(doc) and q + s < len(item) and doc[p + s] == item[q + s]), None)
-            if hit is None:
-                continue
-            n, agree, _, _ = self.run(doc, item, p + hit, q + hit)
-            if (n, agree) > best.get(k, (0, 0.0)):
-                best[k] = (n, agree)
-        return [(k, n, a) for k, (n, a) in best.items() if n >= min(RUN, len(self.items[k])) and a >= AGREE]
+            # words of this diagonal that a run from it has passed
+            done: set[int] = set()
+            for p in sorted(seeds):
+                for i in range(p, min(p + self.window, len(doc), len(item) + shift)):
+                    if i in done or doc[i] != item[i - shift]:
+                        continue
+                    n, agree, _, _ = self.run(doc, item, i, i - shift, done)
+                    if n >= min(RUN, len(item)) and agree >= AGREE and (n, agree) > best.get(k, (0, 0.0)):
+                        best[k] = (n, agree)
+        return [(k, n, a) for k, (n, a) in best.items()]
 
 
 def leaked_items(documents: DataFrame, items: DataFrame, id_column: str = "doc_id", column: str = "text", item_id: str = "item_id", item_text: str = "texto") -> DataFrame:

@@ -63,3 +63,16 @@ def test_empty(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     assert L.leaked_items(docs, spark.createDataFrame([], "item_id long, texto string")).count() == 0
     assert L.leaked_items(docs.where("doc_id < 0"), spark.createDataFrame(ITEMS, "item_id long, texto string")).count() == 0
+
+
+def test_later_seeds_of_a_diagonal(spark):
+    """A run behind two adjacent changed words or behind a short quote on the same diagonal is found, at its whole length."""
+    rng = random.Random(4)
+    item = words(60, rng)
+    broken = [*item[:10], "uno", "dos", *item[12:]]
+    quoted = [*item[:9], *words(21, rng), *item[30:60]]
+    short = [*item[:10], "uno", "dos", *item[12:20], *words(40, rng)]
+    twice = [*item[:18], *["uno"] * 4, *item[22:]]
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate([broken, quoted, short, twice], 1)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["palabras"], r["acuerdo"]) for r in L.leaked_items(docs, spark.createDataFrame([(7, " ".join(item))], "item_id long, texto string")).collect()}
+    assert got == {1: (48, 1.0), 2: (30, 1.0), 4: (38, 1.0)}
