@@ -18,7 +18,7 @@ from fojas.operators import agreement, audit, consolidate, eav, register, state,
 from fojas.operators import dictionary as terms
 from fojas.operators.extraction import Dictionaries, extract_rows, extract_wide
 from fojas.plans.pipeline import below_minimum, score_fields
-from fojas.schema import FIELDS
+from fojas.schema import FIELDS, TARGET_FIELDS
 from fojas.session import read_table, spread
 from fojas.sources import sinks
 from fojas.sources.readers import Settings, enabled_texts
@@ -411,7 +411,7 @@ def export_entities(spark, d):
 @query()
 def export_prompt_pairs(spark, d):
     best = consolidate.consolidate(read_table(spark, d, "campos"))
-    return sinks.prompt_pairs(consolidate.live(read_table(spark, d, "textos")).select("documento_id", "texto_extraccion"), best, FIELDS[:30])
+    return sinks.prompt_pairs(consolidate.live(read_table(spark, d, "textos")).select("documento_id", "texto_extraccion"), best, TARGET_FIELDS)
 
 
 @query()

@@ -11,6 +11,13 @@ FIELDS = [
     "tipo_carroceria", "cilindrada", "transmision", "monto_neto", "monto_iva", "monto_total", "num_contrato",
 ]
 
+# Fields asked for in training pairs, in the order of the answer.
+TARGET_FIELDS = [
+    "numero_documento", "fecha_documento", "rut_proveedor", "rut_comprador", "nombre_proveedor", "nombre_comprador", "tipo_vehiculo", "marca",
+    "modelo", "color", "anio", "n_motor", "n_chasis", "vin", "serie", "pbv", "unidad_pbv", "carga", "unidad_carga", "asientos", "puertas",
+    "potencia_motor", "unidad_potencia", "traccion", "cilindrada", "transmision", "tipo_carroceria", "combustible", "cit", "ejes",
+]
+
 # Recognition methods.
 METHODS = ["paddleocr", "easyocr", "tesseract4", "tesseract6", "doctr", "nativo"]
 

@@ -28,9 +28,9 @@ def prompt_pairs(texts: DataFrame, rows: DataFrame, fields: list[str], instructi
     """(prompt, response): each text with the JSON object of its document's normalized fields, empty ones as '' (SNK8).
 
     texts: documento_id, texto_extraccion; rows: documento_id, campo, valor, one row per document and field (others:
-    the smallest value counts). The object is built by one aggregation per document over at most the listed fields.
+    the smallest value counts). A document with other fields only has an object of empty ones. The object is built by one aggregation per document over at most the listed fields.
     """
-    named = rows.where(F.col("campo").isin(fields)).select("documento_id", "campo", normalize_field(F.col("campo"), F.col("valor")).alias("v"))
+    named = rows.select("documento_id", "campo", F.when(F.col("campo").isin(fields), normalize_field(F.col("campo"), F.col("valor"))).alias("v"))
     per = named.groupBy("documento_id").agg(*[F.coalesce(F.min(F.when(F.col("campo") == f, F.col("v"))), F.lit("")).alias(f) for f in fields])
     response = per.select("documento_id", F.to_json(F.struct(*fields)).alias("response"))
     return texts.join(response, "documento_id").select("documento_id", F.concat(F.lit(instruction), "texto_extraccion").alias("prompt"), "response")

@@ -6,6 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from fojas.plans import catalog
 from fojas.plans.pipeline import below_minimum, run_batch, score_fields
 from fojas.sources import readers, sinks
 from fojas.sources.extractors import extract_texts
@@ -65,6 +66,25 @@ def test_sinks(spark, tmp_path):
     assert "&lt;&amp;&gt;" in html and html.index("anio") < html.index("marca")
 
 
+def test_export_prompt_pairs(spark, tmp_path):
+    """The answer has the thirty target fields, no others, with the document's values."""
+    have = {"cilindrada": "1600", "transmision": "MANUAL", "ejes": "S2-D4", "traccion": "4X2", "potencia_motor": "120", "marca": "HINO", "localidad": "ARICA", "placa_patente": "ABCD12", "tipo_doc": "FACTURA ELECTRONICA"}
+    rows = [(i, 1, "doctr", "a", f, v, 0.9) for i, (f, v) in enumerate(have.items())]
+    rows.append((99, 2, "doctr", "a", "tipo_doc", "FACTURA ELECTRONICA", 0.9))
+    fields = spark.createDataFrame(rows, "id long, documento_id long, metodo string, archivo_origen string, campo string, valor string, score double").selectExpr("*", "timestamp'2025-01-01' AS created_at", "timestamp'2025-01-01' AS updated_at", "CAST(NULL AS timestamp) AS deleted_at")
+    fields.write.parquet(str(tmp_path / "campos.parquet"))
+    texts = spark.createDataFrame([(1, 1, "doctr", "texto"), (2, 2, "doctr", "otro")], "id long, documento_id long, metodo string, texto_extraccion string").selectExpr("*", "CAST(NULL AS timestamp) AS deleted_at")
+    texts.write.parquet(str(tmp_path / "textos.parquet"))
+    pairs = {r["documento_id"]: json.loads(r["response"]) for r in catalog.queries()["export_prompt_pairs"](spark, str(tmp_path)).collect()}
+    got = pairs[1]
+    assert set(pairs[2]) == set(got) and not any(pairs[2].values())
+    assert " ".join(got) == (
+        "numero_documento fecha_documento rut_proveedor rut_comprador nombre_proveedor nombre_comprador tipo_vehiculo marca modelo color anio n_motor n_chasis vin serie "
+        "pbv unidad_pbv carga unidad_carga asientos puertas potencia_motor unidad_potencia traccion cilindrada transmision tipo_carroceria combustible cit ejes"
+    )
+    assert {f: v for f, v in got.items() if v} == {f: v for f, v in have.items() if f not in ("localidad", "placa_patente", "tipo_doc")}
+
+
 def test_pipeline(spark):
     text = "FACTURA ELECTRONICA\nRUT 11.111.111-1\nN° 123456\nRUT 22.222.222-2\nPATENTE: ABCD12"
     texts = spark.createDataFrame([(1, "doctr", text), (1, "easyocr", text)], "documento_id long, metodo string, texto_extraccion string")
