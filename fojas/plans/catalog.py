@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from fojas.functions import extract as X
 from fojas.functions import normalize as N
-from fojas.functions.fixed import BODY_WORDS, REPORT_CODE_PREFIXES, YEAR_SIGNS
-from fojas.functions.fuzzy import axles_of, document_type_of
-from fojas.functions.reading import ACCENTED, PLAIN, literal_map
+from fojas.functions.fixed import BODY_WORDS, YEAR_SIGNS
+from fojas.functions.fuzzy import axles_of, document_type_of, fuzzy_fields
+from fojas.functions.reading import ACCENTED, PLAIN, let, literal_map
 from fojas.functions.score import check_digit, score_reading
 from fojas.functions.text import clean_value, entropy, footer, header_and_body, ngrams, normalize_text, number_words, numbered_lines
 from fojas.operators import agreement, audit, consolidate, eav, register, state, units
@@ -352,7 +352,16 @@ def axles_similar(spark, d):
 
 @query()
 def report_codes(spark, d):
-    return spread(read_table(spark, d, "textos")).select("id", X.report_code(F.col("texto_extraccion"), F.lit(REPORT_CODE_PREFIXES[7][0])).alias("valor"))
+    """The code on a report-code line, else the one with a prefix of the make read from the same text."""
+    makes = terms.terms_of(read_table(spark, d, "diccionario_marcas"), "marca")
+    text = F.coalesce("texto_extraccion", F.lit(""))
+    # the make is needed only where some code has the form that begins with its prefix; it is bound once, as each row of the prefix table looks at it
+    coded = X.upper(text).rlike(r"\b[A-Z0-9]{6,}\-[A-Z0-9]{1,3}\b")
+    none = F.array().cast("array<string>")
+    close = fuzzy_fields(F.lit(""), F.when(coded, X.make_candidates(text)).otherwise(none), none, F.lit(""), makes, [])["marca"]
+    read = spread(read_table(spark, d, "textos")).select("id", text.alias("t"), coded.alias("coded"), close.alias("m"))
+    own = F.when(F.col("coded"), X.make(F.col("t"), makes, F.col("m"))).otherwise("")
+    return read.select("id", let(own, lambda m: X.report_code(F.col("t"), m)).alias("valor"))
 
 
 @query(

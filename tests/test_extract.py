@@ -5,6 +5,7 @@ from __future__ import annotations
 from fojas.functions import extract as X
 from fojas.functions.fuzzy import axles_of, document_type_of, plain_phrase
 from fojas.operators.extraction import Dictionaries, extract_rows, extract_wide
+from fojas.plans import catalog
 
 RUTS = "RUT 11.111.111-1\nRUT 22.222.222-2\n"
 
@@ -95,6 +96,15 @@ def test_make_and_code(one):
     assert one(lambda c: X.report_code(c, F.lit("BMW")), "CIT: AB123456", "x BM12345-A y") == ["AB123456", "BM12345-A"]
 
 
+def test_report_codes(spark, tmp_path):
+    """A code off a report-code line is given by the make read from the same text."""
+    texts = {1: "MARCA: HINO\nx HO12345-A y", 2: "MARCA: HYUNDIA\nBM12345-A HY12345-B", 3: "un BMW nuevo\nBM12345-A", 4: "BM12345-A", 5: "CIT: AB123456", 6: None}
+    spark.createDataFrame(list(texts.items()), "id long, texto_extraccion string").write.parquet(str(tmp_path / "textos.parquet"))
+    spark.createDataFrame([("HINO",), ("BMW",), ("HYUNDAI",)], "marca string").write.parquet(str(tmp_path / "diccionario_marcas.parquet"))
+    got = {r["id"]: r["valor"] for r in catalog.queries()["report_codes"](spark, str(tmp_path)).collect()}
+    assert got == {1: "HO12345-A", 2: "HY12345-B", 3: "BM12345-A", 4: "", 5: "AB123456", 6: ""}
+
+
 def test_similar():
     assert document_type_of(plain_phrase("FACTVRA ELECTRONICA N 5")) == "FACTURA ELECTRONICA"
     assert document_type_of("NADA QUE VER AQUI") == "DESCONOCIDO"
