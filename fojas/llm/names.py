@@ -1,9 +1,12 @@
 """Spellings of names that mean the same person or firm (problem 3).
 
 Distinct strings are parsed into parts (persons: given names and surnames; firms: trade, own words, legal form). Strings
-with equal parts are one class. Candidate pairs of classes share a band of MinHashes over the padded q-grams of their
-distinguishing words (surnames, own words); the number of bands follows from the collision curve. A pair is verified by
-Monge-Elkan similarity of its parts, and the verified links are cut into stars around the most complete spellings.
+with equal parts are one class. The distinct words that distinguish names (surnames, own words, given names that are not
+common) are banded by MinHashes over their padded q-grams, the number of bands following from the collision curve; words
+that share a band and are similar are twins. Classes are candidates if all of their leading words are twins and the other
+parts (given name or initial, trade, legal form) can be the same: an equi-join on composite keys, so that a surname that
+a third of all names has is no bucket of all pairs. A pair is verified by Monge-Elkan similarity of its parts, and the
+verified links are cut into stars around the most complete spellings.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import product
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 
 from fojas.functions.reading import ACCENTED, PLAIN, canonical_field
 from fojas.llm.misread import skeleton_text
-from fojas.session import cut, read_table
+from fojas.session import cut, read_table, spread
 
 # Familiar forms of Spanish given names.
 NICKNAMES = {
@@ -170,23 +173,67 @@ class Parser:
                 lasts.append(w)
         return ("P", tuple(firsts), tuple(lasts))
 
-    def words(self, name: str) -> list[str]:
-        """The distinguishing words: surnames or own words; where there is none, all."""
+    def readings(self, p: tuple) -> list[tuple[tuple[str, ...], tuple[str, ...]]]:
+        """(given names, surnames) that a person's parts may be: one if a given name was recognised, else the usual orders of the words."""
+        if p[1]:
+            return [(p[1], p[2])] if p[2] else []
+        w = p[2]
+        n = len(w)
+        if n < 2:
+            return []
+        if n == 2:
+            return [(w[:1], w[1:]), (w[1:], w[:1])]
+        return list(dict.fromkeys([(w[:1], w[1:]), (w[: n - 2], w[n - 2 :]), (w[n - 1 :], w[: n - 1]), (w[2:], w[:2])]))
+
+    def keys(self, name: str) -> tuple[list[list[str]], list[list[str]]]:
+        """(sought, offered): composite keys [prefix, word, ...] of a name. Two names that may be one share a sought and an offered key up to twins of the words, one way round or the other."""
         p = self.parts(name)
-        own = [w for w in p[2] if len(w) > 1]
-        return own or [w for w in (p[1] if p[0] == "P" else (p[1],)) if len(w) > 1] or [name]
+        return self.firm_keys(p) if p[0] == "F" else self.person_keys(p)
 
-    def units(self, name: str) -> list[str]:
-        """What is banded: each distinguishing word, and all of them run together."""
-        w = self.words(name)
-        return list(dict.fromkeys([*w, "".join(w)]))
-
-    def blocks(self, name: str) -> list[str]:
-        """Parts without which no similarity is above 0: a person's first initial, a firm's legal form (all forms where it is missing)."""
-        p = self.parts(name)
-        if p[0] == "F":
-            return ["F" + p[3]] if p[3] else ["F" + x for x in ("", *sorted(set(LEGAL.values())))]
-        return ["P" + p[1][0][0]] if p[1] else []
+    @staticmethod
+    def firm_keys(p: tuple) -> tuple[list[list[str]], list[list[str]]]:
+        """Own words two and two (the sought side its first two, the offered side any two), one by itself, or all run together; trade and legal form may be missing on either side."""
+        trade, own, legal = p[1], list(dict.fromkeys(p[2])), p[3]
+        mine = [["2", *sorted(own[:2])]] if len(p[2]) > 1 and len(own) > 1 else [["1", *own[:1]]]
+        theirs = [["2", *sorted(c)] for c in combinations(own, 2)] if len(p[2]) > 1 and len(own) > 1 else [["1", w] for w in own[:1]]
+        run = ["J", "".join(p[2])] if own else []
+        mine, theirs = mine + ([run] if run else []), theirs + ([run] if run else [])
+        seek = [(t, x) for t in ([trade, "-"] if trade else ["*"]) for x in ([legal, "-"] if legal else ["*"])]
+        give = [(t, x) for t in (trade or "-", "*") for x in (legal or "-", "*")]
+        sides = []
+        for places, words in ((seek, mine), (give, theirs)):
+            sides.append([[f"F|{t}|{x}|{w[0]}", *w[1:]] for t, x in places for w in words if len(w) > 1])
+        return sides[0], sides[1]
+
+    def person_keys(self, p: tuple) -> tuple[list[list[str]], list[list[str]]]:
+        """Given name and both surnames, or as many as there are. A full given name is sought among equal ones (a rare one among its twins), an initial among all that begin with it."""
+        sought, offered = [], []
+        for g, s in self.readings(p):
+            first, full = g[0], len(g[0]) > 1
+            if len(s) > 1 and len(s[0]) == 1:
+                shapes = seek = [["2d", s[1]]]
+            elif len(s) > 1 and len(s[1]) == 1:
+                shapes = [["2i" + s[1], s[0]], ["2of", s[0]]]
+                seek = [["2i" + s[1], s[0]], ["2f" + s[1], s[0]]]
+            elif len(s) > 1:
+                shapes = [["2", s[0], s[1]], ["2of", s[0]], ["2f" + s[1][0], s[0]], ["2d", s[1]]]
+                seek = [["2", s[0], s[1]]]
+            else:
+                shapes, seek = [["1", s[0]]], [["1", s[0]], ["2of", s[0]]]
+            if len(s) > 1 and not full:
+                # one with an initial may have more surnames than one with a full given name
+                seek = [*seek, ["1", s[0]], *([["2i" + s[1][0], s[0]]] if len(s[1]) > 1 else [])]
+            if len(s) != 1 or len(s[0]) > 6:
+                shapes, seek = [*shapes, ["J", "".join(s)]], [*seek, ["J", "".join(s)]]
+            mark = "=" if full else "~"
+            rare = full and first not in self.given
+            for w in seek:
+                sought.append([f"P{mark}|{w[0]}", *w[1:], first] if rare else [f"P{mark}{first}|{w[0]}", *w[1:]])
+            for w in shapes:
+                offered += [[f"P~{first[0]}|{w[0]}", *w[1:]]]
+                if full:
+                    offered += [[f"P={first}|{w[0]}", *w[1:]], [f"P=|{w[0]}", *w[1:], first]]
+        return ([list(x) for x in dict.fromkeys(map(tuple, sought))], [list(x) for x in dict.fromkeys(map(tuple, offered))])
 
     def similarity(self, a: str, b: str) -> float:
         """Monge-Elkan similarity of the parts; 0 if some part speaks against one party."""
@@ -217,10 +264,31 @@ class Parser:
             return 0.85 if u[0] == v[0] else 0.0
         return word_similarity(u, v)
 
+    @staticmethod
+    def gendered(u: str, v: str) -> bool:
+        """Whether two words differ by a last A or O only: names of two persons, not a misspelling."""
+        return {u[-1], v[-1]} == {"A", "O"} and u[:-1] == v[:-1]
+
+    def same_given(self, g: str, h: str) -> float:
+        """Likeness of two given names: common ones must be equal, a rare one may be misread, either may be an initial."""
+        if g == h:
+            return 1.0
+        if len(g) == 1 or len(h) == 1:
+            return 0.85 if g[0] == h[0] else 0.0
+        if (g in self.given and h in self.given) or self.gendered(g, h):
+            return 0.0
+        s = word_similarity(g, h)
+        return s if s >= 0.75 else 0.0
+
     def person(self, p: tuple, q: tuple) -> float:
-        (_, g, s), (_, h, t) = p, q
-        if not s or not t or not g or not h:
-            return 1.0 if p == q else 0.0
+        """Best similarity of the readings of two persons' names."""
+        if p == q:
+            return 1.0
+        if not p[1] and not q[1] and any(self.gendered(u, v) for u in p[2] for v in q[2]):
+            return 0.0
+        return max((self.persons(g, s, h, t) for g, s in self.readings(p) for h, t in self.readings(q)), default=0.0)
+
+    def persons(self, g: tuple, s: tuple, h: tuple, t: tuple) -> float:
         last = self.fit(s[0], t[0])
         full = sum(len(a) > 1 and len(b) > 1 for a, b in zip(s, t))
         if last < 0.6 or not full:
@@ -235,11 +303,11 @@ class Parser:
             last = (last + second) / 2
         else:
             last -= 0.1
-        first = 1.0 if g[0] == h[0] else 0.85 if (len(g[0]) == 1 or len(h[0]) == 1) and g[0][0] == h[0][0] else 0.0
+        first = self.same_given(g[0], h[0])
         if not first:
             return 0.0
         if len(g) > 1 and len(h) > 1:
-            other = 1.0 if g[1] == h[1] else 0.85 if (len(g[1]) == 1 or len(h[1]) == 1) and g[1][0] == h[1][0] else 0.0
+            other = self.same_given(g[1], h[1])
             if not other:
                 return 0.0
             first = (first + other) / 2
@@ -277,28 +345,29 @@ class MinHasher:
         return [int(zlib.crc32(r.tobytes(), k)) for k, r in enumerate(low)]
 
 
-def given_names(names: DataFrame, share: float = 0.004, top: int = 250) -> set[str]:
-    """Words that open a name or stand before its last two words in at least this share of the distinct names without legal form: at most 3/share."""
+def given_names(names: DataFrame, share: float = 0.004) -> set[str]:
+    """Common given names: words that open a name or stand before its last two words in at least this share of the distinct names without legal form, so at most 3/share. Names with others are compared by their words' twins."""
     plain = F.translate(F.upper("nombre"), ACCENTED, PLAIN)
     firm = plain.rlike(r"[ ,](S\.? ?P\.? ?A|S\.? ?A|E\.? ?I\.? ?R\.? ?L|LTDA?|LIMITADA|ANONIMA)\.?\s*$")
     people = names.where(~firm & ~plain.rlike(",")).select(F.split(plain, " ").alias("w")).where(F.size("w").between(3, 4)).select(F.slice("w", 1, F.size("w") - 2).alias("w"))
     total = people.count()
     counted = people.select(F.explode("w").alias("w")).where(F.length("w") > 2).groupBy("w").agg(F.count("*").alias("n"))
-    return {r["w"] for r in counted.where(F.col("n") >= max(3, total * share)).orderBy(F.desc("n"), "w").limit(top).collect()}
+    return {r["w"] for r in counted.where((F.col("n") >= 3) & (F.col("n") >= total * share)).collect()}
 
 
-def stars(nodes: DataFrame, edges: DataFrame, most_rounds: int = 30) -> DataFrame:
+def stars(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(key, center): nodes (key, rank) cut into stars. edges (a, b, s), each link once.
 
     A node none of whose undecided neighbours has a higher rank becomes a centre and its undecided neighbours its
-    satellites; this is repeated until all are decided. Then each satellite goes to its most similar centre. Each
-    round is a join of what is still undecided, cut by a checkpoint.
+    satellites; this is repeated until all are decided, which each round brings nearer, as the highest open rank
+    always is decided. Then each satellite goes to its most similar centre. Each round is a join of what is still
+    undecided, cut by a checkpoint.
     """
     both = cut(edges.select("a", "b", "s").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "s")))
     ranked = nodes.select("key", "rank")
     links = cut(both.join(ranked.select(F.col("key").alias("a"), F.col("rank").alias("ra")), "a").join(ranked.select(F.col("key").alias("b"), F.col("rank").alias("rb")), "b"))
     open_, centers = links, None
-    for _ in range(most_rounds):
+    while True:
         best = open_.groupBy("a").agg(F.max(F.struct(F.col("rb").alias("r"), F.col("b").alias("k"))).alias("top"), F.first("ra").alias("ra"))
         fresh = cut(best.where(F.struct(F.col("ra").alias("r"), F.col("a").alias("k")) > F.col("top")).select(F.col("a").alias("key")))
         centers = fresh if centers is None else centers.union(fresh)
@@ -308,13 +377,32 @@ def stars(nodes: DataFrame, edges: DataFrame, most_rounds: int = 30) -> DataFram
         open_ = cut(open_.join(taken.withColumnRenamed("key", "a"), "a", "left_anti").join(taken.withColumnRenamed("key", "b"), "b", "left_anti"))
         if open_.isEmpty():
             break
-    else:
-        raise RuntimeError("stars: not all nodes were decided")
     near = links.join(centers.withColumnRenamed("key", "b"), "b", "left_semi").join(centers.withColumnRenamed("key", "a"), "a", "left_anti")
     chosen = near.groupBy(F.col("a").alias("key")).agg(F.max_by("b", F.struct("s", "rb", "b")).alias("center"))
     return nodes.select("key").join(chosen, "key", "left").select("key", F.coalesce("center", "key").alias("center"))
 
 
+def twins(words: DataFrame, hasher: MinHasher, least: float = 0.6) -> DataFrame:
+    """(w, t): words (distinct, column w) with those similar to them, themselves among them. Each word is hashed once; a band's bucket holds each spelling once."""
+
+    def banded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = [(w, k * 4_294_967_296 + h) for w in b["w"] for k, h in enumerate(hasher.keys(qgrams([w])))]
+            yield pd.DataFrame(out, columns=["w", "h"])
+
+    buckets = cut(spread(words).mapInPandas(banded, "w string, h long"))
+    met = buckets.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
+    live = buckets.join(met, "h", "left_semi")
+    near = live.alias("x").join(live.alias("y"), F.expr("x.h = y.h and x.w < y.w and abs(length(x.w) - length(y.w)) <= 3")).select(F.col("x.w").alias("w"), F.col("y.w").alias("t")).distinct()
+
+    def similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b[[word_similarity(x, y) >= least for x, y in zip(b["w"], b["t"])]]
+
+    close = cut(spread(near).mapInPandas(similar, "w string, t string"))
+    return cut(close.union(close.select(F.col("t").alias("w"), F.col("w").alias("t"))).union(words.select("w", F.col("w").alias("t"))))
+
+
 def link_names(names: DataFrame, accept: float = 0.8) -> DataFrame:
     """(nombre, parte): every distinct non-blank string of names.nombre with the spelling that stands for its party.
 
@@ -328,26 +416,27 @@ def link_names(names: DataFrame, accept: float = 0.8) -> DataFrame:
         for b in batches:
             yield b.assign(key=["|".join(" ".join(x) if isinstance(x, tuple) else x for x in parser.parts(t)) for t in b["nombre"]], full=[parser.completeness(t) for t in b["nombre"]])
 
-    keyed = cut(texts.mapInPandas(classes, "nombre string, n long, key string, full double"))
+    keyed = cut(spread(texts).mapInPandas(classes, "nombre string, n long, key string, full double"))
     # the spelling that stands for a class: the most complete, most frequent
     nodes = cut(keyed.groupBy("key").agg(F.max_by("nombre", F.struct("full", "n", "nombre")).alias("name"), F.struct(F.max("full").alias("full"), F.sum("n").alias("n")).alias("rank")))
 
-    def banded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sides(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            ids, hs = [], []
-            for i, t in zip(b["node"], b["name"]):
-                keys = {x for u in parser.units(t) for x in enumerate(hasher.keys(qgrams([u])))}
-                for block in parser.blocks(t):
-                    salt = zlib.crc32(block.encode())
-                    hs += [(k * 1_000_003 + salt) * 4_294_967_296 % _PRIME + h for k, h in keys]
-                    ids += [i] * len(keys)
-            yield pd.DataFrame({"node": np.array(ids, "int64"), "h": np.array(hs, "int64")})
+            rows = [(i, seek, k[0], *(k[1:] + [""] * 3)[:3]) for i, t in zip(b["node"], b["name"]) for seek, ks in zip((True, False), parser.keys(t)) for k in ks]
+            yield pd.DataFrame(rows, columns=["node", "seek", "h", "a", "b", "c"])
 
     numbered = cut(nodes.withColumn("node", F.xxhash64("key")))
-    buckets = cut(numbered.select("node", "name").mapInPandas(banded, "node long, h long"))
-    met = buckets.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
-    live = buckets.join(met, "h", "left_semi")
-    pairs = live.alias("x").join(live.alias("y"), F.expr("x.h = y.h and x.node < y.node")).select(F.col("x.node").alias("m"), F.col("y.node").alias("n")).distinct()
+    keys = cut(spread(numbered.select("node", "name")).mapInPandas(sides, "node long, seek boolean, h string, a string, b string, c string"))
+    like = twins(keys.where("seek").select(F.explode(F.array("a", "b", "c")).alias("w")).union(keys.where("not seek").select(F.explode(F.array("a", "b", "c")))).where("w <> ''").distinct(), hasher)
+    like = like.union(like.sparkSession.createDataFrame([("", "")], "w string, t string"))
+    sought = keys.where("seek").select("node", "h", "a", "b", "c")
+    for x in ("a", "b", "c"):
+        sought = sought.join(like.select(F.col("w").alias(x), F.col("t").alias("t" + x)), x).drop(x).withColumnRenamed("t" + x, x)
+    # the two words of a firm's pair stand in order
+    firm = F.startswith("h", F.lit("F|")) & (F.col("b") != "") & (F.col("a") > F.col("b"))
+    sought = sought.select(F.col("node").alias("m"), "h", F.when(firm, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(firm, F.col("a")).otherwise(F.col("b")).alias("b"), "c").distinct()
+    met = sought.join(keys.where("not seek").select(F.col("node").alias("n"), "h", "a", "b", "c"), ["h", "a", "b", "c"]).where("m <> n")
+    pairs = met.select(F.least("m", "n").alias("m"), F.greatest("m", "n").alias("n")).distinct()
     named = numbered.select("node", "key", "name")
     pairs = pairs.join(named.select(F.col("node").alias("m"), F.col("key").alias("a"), F.col("name").alias("p")), "m").join(named.select(F.col("node").alias("n"), F.col("key").alias("b"), F.col("name").alias("q")), "n")
 
@@ -356,7 +445,7 @@ def link_names(names: DataFrame, accept: float = 0.8) -> DataFrame:
             s = np.array([parser.similarity(p, q) for p, q in zip(b["p"], b["q"])])
             yield b.assign(s=s)[s >= accept][["a", "b", "s"]]
 
-    edges = cut(pairs.select("a", "b", "p", "q").mapInPandas(verify, "a string, b string, s double"))
+    edges = cut(spread(pairs.select("a", "b", "p", "q")).mapInPandas(verify, "a string, b string, s double"))
     star = stars(nodes, edges)
     named = star.join(nodes.select(F.col("key").alias("center"), F.col("name").alias("parte")), "center")
     return keyed.join(named, "key").select("nombre", "parte")
