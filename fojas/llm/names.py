@@ -387,13 +387,23 @@ def twins(words: DataFrame, hasher: MinHasher, least: float = 0.6) -> DataFrame:
 
     def banded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = [(w, k * 4_294_967_296 + h) for w in b["w"] for k, h in enumerate(hasher.keys(qgrams([w])))]
-            yield pd.DataFrame(out, columns=["w", "h"])
-
-    buckets = cut(spread(words).mapInPandas(banded, "w string, h long"))
+            out = []
+            for w in b["w"]:
+                s = skeleton_text(w)
+                forms = (w, s, "".join(sorted(w)), "".join(sorted(s)))
+                out += [(*forms, k * 4_294_967_296 + h) for k, h in enumerate(hasher.keys(qgrams([w])))]
+            yield pd.DataFrame(out, columns=["w", "s", "wo", "so", "h"])
+
+    buckets = cut(spread(words).mapInPandas(banded, "w string, s string, wo string, so string, h long"))
     met = buckets.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
     live = buckets.join(met, "h", "left_semi")
-    near = live.alias("x").join(live.alias("y"), F.expr("x.h = y.h and x.w < y.w and abs(length(x.w) - length(y.w)) <= 3")).select(F.col("x.w").alias("w"), F.col("y.w").alias("t")).distinct()
+    # as many edits as word_similarity allows; a swap of neighbours is two of these edits, and leaves the letters the same
+    can = []
+    for c, o in (("w", "wo"), ("s", "so")):
+        most = f"CASE WHEN greatest(length(x.{c}), length(y.{c})) < 5 THEN 1 WHEN greatest(length(x.{c}), length(y.{c})) < 9 THEN 2 ELSE 3 END"
+        d = f"levenshtein(x.{c}, y.{c}, 2 * {most})"
+        can.append(f"(abs(length(x.{c}) - length(y.{c})) <= {most} and {d} >= 0 and ({d} <= {most} or levenshtein(x.{o}, y.{o}, 2 * (2 * {most} - {d})) >= 0))")
+    near = live.alias("x").join(live.alias("y"), F.expr(f"x.h = y.h and x.w < y.w and ({' or '.join(can)})")).select(F.col("x.w").alias("w"), F.col("y.w").alias("t")).distinct()
 
     def similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
