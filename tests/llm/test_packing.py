@@ -47,6 +47,30 @@ def test_containers(spark, shard):
     assert {r["perfil"] for r in rows} == {"a", "b"}
 
 
+def test_items_that_fill_no_bin_stay_in_shards(spark, monkeypatch):
+    """Items of 0.6 of the capacity, none of which go together: no group outgrows a shard."""
+    most = []
+    real = P.cut
+
+    def seen(df):
+        out = real(df)
+        if "contenedor" in out.columns:
+            most.append(out.withColumn("s", F.expr("substring_index(contenedor, '-', 2)")).groupBy("s").agg(F.sum("tokens").alias("t")).agg(F.max("t")).first()[0])
+        return out
+
+    monkeypatch.setattr(P, "cut", seen)
+    sizes = spark.range(4096).select(F.col("id").alias("doc_id"), F.lit(60).cast("long").alias("tokens"))
+    rows = P.containers(sizes, spark.createDataFrame([("a", 100)], "perfil string, capacidad_tokens int"), 6000)
+    assert rows.select("contenedor").distinct().count() == rows.count() == 4096
+    assert max(most) <= 2 * 6000
+
+
+def test_tokens_are_the_tokenizers(spark):
+    text = "uno dos  tres\n\n" * 40_000 + "y" * 60_000 + " fin"
+    tool = P.encoder(f"{P.TOKENIZER_FOLDER}/{P.TOKENIZER}")
+    assert P.token_counts(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()["tokens"] == len(tool.encode_ordinary(text))
+
+
 def test_tokens_and_empty(spark):
     docs = spark.createDataFrame([(1, "hola mundo"), (2, ""), (3, None), (4, "x" * 20_000), (5, "<|endoftext|>")], "doc_id long, text string")
     n = {r["doc_id"]: r["tokens"] for r in P.token_counts(docs).collect()}
