@@ -16,6 +16,7 @@ def queries() -> dict:
         "p3_parties": names.p3_parties,
         "p6_found": survivor.p6_found,
         "p6_survivors": survivor.p6_survivors,
+        "p6_held_out": survivor.p6_held_out,
         "p7_found": canonical.p7_found,
         "p7_mapping": canonical.p7_mapping,
         "p8_containers": packing.p8_containers,
