@@ -1,15 +1,19 @@
 """Repair of text read from scanned pages (problem 2).
 
 Lines are labelled by a hidden Markov model over layout features as form field, running text, page furniture or break.
-Words parted at line ends are found with a lexicon counted over the whole corpus, and misread words as rare spellings
-that a common word turns into under the confusions of recognition. Paragraphs are then put together again.
+It starts from what each feature by itself suggests and is fitted by forward-backward passes whose counts are summed over
+all texts: how states follow one another, what they look like, and which closing words lines of a state have (so that the
+running headers of a corpus are learned, not listed). Words parted at line ends are found with a lexicon counted over the
+whole corpus, and misread words as rare spellings that a common word turns into under the confusions of recognition.
+Paragraphs are then put together again.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -17,14 +21,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fojas.functions.reading import ACCENTED, PLAIN
-from fojas.session import read_table, spread
+from fojas.session import cut, read_table, spread
 
 CAMPO, CUERPO, PAGINA, CORTE = range(4)
 STATE_NAMES = ["campo", "cuerpo", "pagina", "corte"]
-#: Texts the line model is fitted on (those of smallest hash).
-FIT_TEXTS = 3000
-#: A word enters the lexicon if it makes up this share of all words: at most 1/SHARE entries.
-SHARE = 1e-6
+#: Rounds of fitting the line model (few, so that what features by themselves suggest still counts); a line's closing word is told apart if it makes up this share of the lines that can be furniture.
+ROUNDS, TAIL_SHARE = 3, 1e-4
+#: A word enters the lexicon if it was read so often.
+FEWEST = 3
+#: So many words of the lexicon are sent to every task; a larger one's rarer words are joined to the texts that hold them.
+MOST_WORDS = 1_000_000
 _FOLD = str.maketrans(ACCENTED, PLAIN)
 
 # What recognition makes of a letter of running text.
@@ -78,52 +84,97 @@ def misread_of(seen: str, word: str) -> bool:
     return False
 
 
+def pruned(words: list[tuple[int, str]], ratio: float = 0.08) -> list[tuple[int, str]]:
+    """(count, word) of one skeleton without the misreadings of commoner ones, the commonest first."""
+    kept: list[tuple[int, str]] = []
+    for n, w in sorted(words, key=lambda x: (-x[0], x[1])):
+        if not any(n < ratio * k and misread_of(w, c) for k, c in kept):
+            kept.append((n, w))
+    return kept
+
+
 class Lexicon:
-    """Words of running text that the corpus vouches for, and the compounds it writes with a hyphen."""
-
-    def __init__(self, counts: dict[str, int], compounds: dict[str, int], ratio: float = 0.08):
-        by_bone: dict[str, list[str]] = defaultdict(list)
-        for w in counts:
-            if not _ODD.search(w):
-                by_bone[bone(w)].append(w)
-        self.words: dict[str, int] = {}
-        self.by_bone: dict[str, list[str]] = {}
-        for k, ws in by_bone.items():
-            ws.sort(key=lambda w: -counts[w])
-            kept: list[str] = []
-            for w in ws:
-                if not any(counts[w] < ratio * counts[c] and misread_of(w, c) for c in kept):
-                    kept.append(w)
-            self.by_bone[k] = kept
-            self.words.update((w, counts[w]) for w in kept)
-        self.compounds = compounds
+    """Words of running text that the corpus vouches for, by skeleton, and the compounds it writes with a hyphen, by the skeletons of their parts.
+
+    classes: skeleton -> pruned (count, word); that of a compound has a hyphen. A skeleton's words are in one lexicon
+    or the other: base is asked for those that this one doesn't have.
+    """
+
+    def __init__(self, classes: dict[str, list[tuple[int, str]]], base: Lexicon | None = None):
+        self.by_bone = {k: [w for _, w in ws] for k, ws in classes.items() if "-" not in k}
+        self.words = {w: n for k, ws in classes.items() if "-" not in k for n, w in ws}
+        self.compounds = {w: n for k, ws in classes.items() if "-" in k for n, w in ws}
+        self.base = base
         self.cache: dict[str, str | None] = {}
+        #: Skeletons that were asked for and aren't here, if they are to be noted.
+        self.missing: set[str] | None = None
+
+    @classmethod
+    def counted(cls, counts: dict[str, int]) -> Lexicon:
+        """From counts of words and compounds."""
+        classes: dict[str, list[tuple[int, str]]] = {}
+        for w, n in counts.items():
+            classes.setdefault(bone_key(w), []).append((n, w))
+        return cls({k: pruned(ws) if "-" not in k else ws for k, ws in classes.items()})
+
+    def count(self, w: str) -> int:
+        """How often a word was read, 0 for others."""
+        return self.words.get(w) or (self.base.words.get(w, 0) if self.base else 0)
+
+    def compound(self, w: str) -> int:
+        if self.missing is not None and w not in self.compounds:
+            self.missing.add(bone_key(w))
+        return self.compounds.get(w) or (self.base.compounds.get(w, 0) if self.base else 0)
 
     def source(self, seen: str) -> str | None:
         """The word that seen is a misreading of, or None."""
         if seen not in self.cache:
             if len(self.cache) > 300_000:
                 self.cache.clear()
-            w = seen.lower()
-            self.cache[seen] = None if w in self.words else next((c for c in self.by_bone.get(bone(w), []) if misread_of(w, c)), None)
+            b = bone(seen)
+            if self.base and b not in self.by_bone:
+                return self.base.source(seen)
+            if self.missing is not None and b not in self.by_bone:
+                self.missing.add(b)
+                return None
+            self.cache[seen] = None if self.count(seen.lower()) else next((c for c in self.by_bone.get(b, []) if misread_of(seen, c)), None)
         return self.cache[seen]
 
     def known(self, word: str) -> str | None:
         """The lexicon's word for a spelling, misread or not."""
         w = word.lower()
-        return w if w in self.words else self.source(word)
+        return w if self.count(w) else self.source(word)
 
 
-def word_counts(texts: DataFrame, column: str) -> tuple[dict[str, int], dict[str, int]]:
-    """Counts of the words and hyphened compounds inside lines of running text, over all rows, of those that make up at least SHARE."""
-    lines = texts.select(F.explode(F.split(F.col(column), "\n")).alias("l")).where(F.col("l").rlike(r"(?:^|\s)[a-záéíóúüñ]{2,}\s.*[a-záéíóúüñ]{2,}"))
+def bone_key(word: str) -> str:
+    """Skeleton of a word, or of a compound's parts."""
+    return "-".join(map(bone, word.split("-")))
+
+
+def word_counts(texts: DataFrame, column: str) -> DataFrame:
+    """(t, n): words and hyphened compounds inside lines of running text, over all rows, read at least FEWEST times."""
+    lines = spread(texts.select(column)).select(F.explode(F.split(F.col(column), "\n")).alias("l")).where(F.col("l").rlike(r"(?:^|\s)[a-záéíóúüñ]{2,}\s.*[a-záéíóúüñ]{2,}"))
     marks = ".,;:()[]\"¿?¡"
     words = F.split(F.trim(F.lower(F.translate("l", marks + "\t\u000c", " " * (len(marks) + 2)))), " +")
     tokens = lines.select(words.alias("w")).select(F.explode(F.slice("w", 2, F.greatest(F.size("w") - 2, F.lit(0)))).alias("t"))
     counted = tokens.where(F.length("t") > 0).groupBy("t").agg(F.count("*").alias("n"))
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    kept = counted.where((F.col("n") >= max(3, int(total * SHARE))) & F.col("t").rlike(rf"^[{_LETTERS}]+(-[{_LETTERS}]+)?$")).collect()
-    return {r["t"]: r["n"] for r in kept if "-" not in r["t"]}, {r["t"]: r["n"] for r in kept if "-" in r["t"]}
+    return counted.where((F.col("n") >= FEWEST) & F.col("t").rlike(rf"^[{_LETTERS}]+(-[{_LETTERS}]+)?$"))
+
+
+def lexicon_rows(texts: DataFrame, column: str) -> DataFrame:
+    """(k, words): per skeleton the pruned (n, t) of its words; the words of one skeleton are few, as they have its length."""
+
+    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b.assign(k=[bone_key(t) for t in b["t"]])
+
+    def prune(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(k, [{"n": n, "t": t} for n, t in (pruned(ws) if "-" not in k else ws)]) for k, ws in zip(b["k"], ([(x["n"], x["t"]) for x in ws] for ws in b["words"]))]
+            yield pd.DataFrame(rows, columns=["k", "words"])
+
+    grouped = word_counts(texts, column).mapInPandas(keyed, "t string, n long, k string").groupBy("k").agg(F.collect_list(F.struct("n", "t")).alias("words"))
+    return grouped.mapInPandas(prune, "k string, words array<struct<n: long, t: string>>")
 
 
 _PAGE_PLAIN = re.compile(r"^\W*(?:(?:p[aá]g(?:ina)?|hoja|page|folio)\b\W*\d+(?:\W*(?:de|of|[/|])?\W*\d+)?|\d+\s*[|/]\s*\d+|[-–]+\s*\d+\s*[-–]+)\W*$", re.I)
@@ -151,7 +202,7 @@ def shape_of(t: str) -> int:
         return 0
     if page_number(t):
         return 1
-    if t.isdigit():
+    if t.isdigit() and len(t) <= 3:
         return 2
     if _MONEY.match(t):
         return 3
@@ -170,113 +221,213 @@ def shape_of(t: str) -> int:
     return 9
 
 
-def symbols(lines: list[str]) -> list[int]:
-    """One symbol per line out of its layout features: shape, form feed, whether it repeats a head line of its text, recurs, or stands beside a page number."""
+@lru_cache(maxsize=200_000)
+def facts(t: str) -> tuple[int, str, str, bool, str]:
+    """Of a stripped line: shape, digits masked, skeleton (of lines that can be furniture), whether it can head a page, closing word."""
+    shape = shape_of(t)
+    masked = re.sub(r"\d+", "#", t.upper().translate(_FOLD)) if t and len(t) < 90 else ""
+    heads = len(t) > 6 and not re.match(r"^[^:]{1,20}:", t)
+    return shape, masked, bone(t) if heads or shape in (7, 8, 9) else "", heads, closing(t) if shape in (7, 8, 9) and len(t) < 110 else ""
+
+
+def closing(t: str) -> str:
+    """Skeleton of a line's last word, a number behind it by one sign."""
+    words = t.split()
+    number = ""
+    while words and not re.search(r"[^\W\d_]{3}", words[-1]):
+        number = "#" if number or re.search(r"\d", words[-1]) else ""
+        words.pop()
+    return (bone(words[-1].strip(".,:;")) if words else "") + number
+
+
+def line_features(lines: list[str]) -> tuple[list[int], list[str]]:
+    """Per line one symbol out of its layout (shape, form feed, whether it repeats a head line of its text, recurs, stands beside a page number or at the foot of the text, or in a column of numbers), and its closing word ('' where it can't be furniture)."""
     bare = [x.strip() for x in lines]
-    shapes = [shape_of(t) for t in bare]
-    masked = [re.sub(r"\d+", "#", t.upper().translate(_FOLD)) if t and len(t) < 90 else "" for t in bare]
+    known = [facts(t) for t in bare]
+    shapes = [k[0] for k in known]
+    masked = [k[1] for k in known]
     heads, seen_heads = [], 0
     for i, t in enumerate(bare):
-        if t and seen_heads < 5:
+        if t:
             seen_heads += 1
-            if not re.match(r"^[^:]{1,20}:", t) and len(t) > 6:
-                heads.append((i, masked[i], bone(t)))
+            if known[i][3]:
+                heads.append((i, masked[i], known[i][2]))
+            if seen_heads == 5:
+                break
     times = Counter(m for m in masked if m)
-    out = []
+    symbols, tails = [], []
     last = len(lines) - 1
+    foot = next((i for i in range(last, -1, -1) if bare[i]), -1)
+    above = 0
     for i, t in enumerate(bare):
         s = shapes[i]
-        feed = "\x0c" in lines[i]
         head = False
         if s in (7, 8, 9) and len(t) < 110:
-            head = any(i > k and (masked[i].startswith(m) or m in masked[i]) for k, m, _ in heads)
+            m = masked[i]
+            head = any(i > k and h in m for k, h, _ in heads)
             if not head and i > 5:
-                b = bone(t)
-                head = any(b.startswith(hb) for k, _, hb in heads if i > k)
-        again = bool(masked[i]) and times[masked[i]] > 1 and s not in (0, 2, 3, 5, 6)
-        near = (i > 0 and (shapes[i - 1] == 1 or "\x0c" in lines[i - 1])) or (i < last and (shapes[i + 1] == 1 or "\x0c" in lines[i + 1]))
-        furniture = s >= 5 and len(t) < 60 and t[0].isupper() and bool(re.search(r"\(c\S{6,12}n\)$| - fol?\S{1,4}\s*\d+$", t))
-        if s == 2:
-            # a number by itself is a page number unless it stands in a column of quantities
-            above = next((shapes[k] for k in range(i - 1, -1, -1) if shapes[k]), 0)
-            furniture = len(t) <= 3 and above not in (2, 7)
-        out.append(((((s * 2 + feed) * 2 + head) * 2 + again) * 2 + near) * 2 + furniture)
-    return out
+                b = known[i][2]
+                head = any(i > k and b.startswith(hb) for k, _, hb in heads)
+        # what recurs on lines close by is a list, not furniture
+        again = s not in (0, 2, 3, 5, 6) and bool(masked[i]) and times[masked[i]] > 1 and masked[i] not in masked[max(0, i - 4) : i] and masked[i] not in masked[i + 1 : i + 5]
+        near = (i > 0 and (shapes[i - 1] == 1 or "\x0c" in lines[i - 1])) or (i < last and (shapes[i + 1] == 1 or "\x0c" in lines[i + 1])) or i == foot
+        column = s == 2 and above in (2, 7)
+        symbols.append(((((s * 2 + ("\x0c" in lines[i])) * 2 + head) * 2 + again) * 2 + near) * 2 + column)
+        tails.append(known[i][4])
+        above = s or above
+    return symbols, tails
 
 
 N_SYMBOLS = SHAPES * 32
-
-
-def first_guess(symbol: int, at: int) -> int:
-    """State by plain rules, from which the model starts."""
-    s, feed, head, again, near, furniture = symbol >> 5, symbol >> 4 & 1, symbol >> 3 & 1, symbol >> 2 & 1, symbol >> 1 & 1, symbol & 1
-    if s == 0:
-        return CORTE
-    if s == 1:
-        return PAGINA
-    if s in (2, 3):
-        return PAGINA if furniture else CAMPO
-    if s == 4:
-        return PAGINA if feed and head else CAMPO
-    if furniture or (head and (near or feed or again or at > 8)) or (feed and s != 5):
-        return PAGINA
-    if s in (5, 6):
-        return CUERPO
-    return CAMPO
+# What fitting starts from: states (field, text, furniture, break) of a line of each shape, 0 where the shape by itself rules a state
+# out, and how often form feed, head line, recurrence, neighbour of a page number and (of numbers) a column stand in furniture and elsewhere.
+SHAPE_START = np.array([
+    [0.0, 0.0, 0.0, 1.0], [0.0, 0.0, 1.0, 0.0], [0.5, 0.0, 0.5, 0.0], [1.0, 0.0, 0.0, 0.0], [1.0, 0.0, 0.0, 0.0],
+    [0.0, 1.0, 0.0, 0.0], [0.2, 0.8, 0.0, 0.0], [0.85, 0.0, 0.15, 0.0], [0.7, 0.0, 0.3, 0.0], [0.75, 0.0, 0.25, 0.0],
+])
+FLAG_START = np.array([[0.2, 0.05], [0.5, 0.1], [0.3, 0.1], [0.3, 0.1], [0.03, 0.95]])
 
 
 class LineModel:
-    """Hidden Markov model with four states and one discrete emission per line."""
+    """Hidden Markov model with four states; a line shows a symbol of its layout and, if it can be furniture, its closing word. tails: closing words told apart, by number."""
 
-    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
-        self.start, self.move, self.emit = start, move, emit
-        self.lists = np.log(start).tolist(), np.log(move).tolist(), np.log(emit.T).tolist()
+    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray, tail: np.ndarray, tails: dict[str, int]):
+        self.start, self.move, self.emit, self.tail, self.tails = start, move, emit, tail, tails
 
     @classmethod
-    def counted(cls, sequences: list[tuple[list[int], list[int]]]) -> LineModel:
-        start, move, emit = np.full(4, 0.5), np.full((4, 4), 0.5), np.full((4, N_SYMBOLS), 0.02)
-        for syms, states in sequences:
-            if syms:
-                start[states[0]] += 1
-                np.add.at(move, (states[:-1], states[1:]), 1)
-                np.add.at(emit, (states, syms), 1)
-        return cls(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True))
-
-    def decode(self, syms: list[int]) -> list[int]:
-        """Most probable states (Viterbi)."""
-        if not syms:
-            return []
-        start, move, emit = self.lists
-        e = emit[syms[0]]
-        score = [start[k] + e[k] for k in range(4)]
-        back = []
-        for s in syms[1:]:
-            e = emit[s]
-            new, came = [], []
+    def first(cls, tails: dict[str, int]) -> LineModel:
+        """Where fitting starts: features by themselves, all successions alike."""
+        emit = np.zeros((4, N_SYMBOLS))
+        for sym in range(N_SYMBOLS):
+            emit[:, sym] = SHAPE_START[sym >> 5]
+            for k, (inside, outside) in enumerate(FLAG_START[: 5 if sym >> 5 == 2 else 4]):
+                on = sym >> (4 - k) & 1
+                emit[PAGINA, sym] *= inside if on else 1 - inside
+                emit[[CAMPO, CUERPO, CORTE], sym] *= outside if on else 1 - outside
+        emit /= emit.sum(axis=1, keepdims=True)
+        n = len(tails) + 1
+        return cls(np.full(4, 0.25), np.full((4, 4), 0.25), emit, np.full((4, n), 1 / n), tails)
+
+    def codes(self, tails: list[str]) -> list[int]:
+        """Numbers of closing words, -1 for none, 0 for those not told apart."""
+        return [self.tails.get(t, 0) if t else -1 for t in tails]
+
+    def emissions(self, symbols: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        return self.emit.T[symbols] * np.where(codes[..., None] >= 0, self.tail.T[np.maximum(codes, 0)], 1.0)
+
+    @staticmethod
+    def batches(texts: list[tuple[list[int], list[int]]], cells: int = 60_000) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
+        """(places, symbols, codes, lengths): texts of like length side by side, padded."""
+        order = sorted((i for i, t in enumerate(texts) if t[0]), key=lambda i: len(texts[i][0]))
+        at = 0
+        while at < len(order):
+            end = at + 1
+            while end < len(order) and (end + 1 - at) * len(texts[order[end]][0]) <= cells:
+                end += 1
+            part = order[at:end]
+            size = len(texts[part[-1]][0])
+            sym, code = np.zeros((len(part), size), np.int64), np.full((len(part), size), -1, np.int64)
+            for k, i in enumerate(part):
+                sym[k, : len(texts[i][0])], code[k, : len(texts[i][1])] = texts[i]
+            yield part, sym, code, np.array([len(texts[i][0]) for i in part])
+            at = end
+
+    def expected(self, texts: list[tuple[list[int], list[int]]]) -> np.ndarray:
+        """Expected counts over texts (symbols, codes), flat: start, move, emit, tail. Forward-backward."""
+        n_tail = self.tail.shape[1]
+        start, move, emit, tail = np.zeros(4), np.zeros((4, 4)), np.zeros((4, N_SYMBOLS)), np.zeros((4, n_tail))
+        for _, sym, code, size in self.batches(texts):
+            e = self.emissions(sym, code)
+            there = np.arange(sym.shape[1]) < size[:, None]
+            e[~there] = 1.0
+            a, b = np.empty_like(e), np.empty_like(e)
+            for t in range(sym.shape[1]):
+                x = (self.start if t == 0 else a[:, t - 1] @ self.move) * e[:, t]
+                a[:, t] = x / x.sum(axis=1, keepdims=True)
+            b[:, -1] = 1.0
+            for t in range(sym.shape[1] - 2, -1, -1):
+                x = (e[:, t + 1] * b[:, t + 1]) @ self.move.T
+                x[~there[:, t + 1]] = 1.0
+                b[:, t] = x / x.sum(axis=1, keepdims=True)
+            g = a * b
+            g *= (there / g.sum(axis=2))[..., None]
+            start += g[:, 0].sum(axis=0)
+            x = a[:, :-1, :, None] * self.move * (e[:, 1:] * b[:, 1:])[:, :, None, :]
+            x *= (there[:, 1:] / x.sum(axis=(2, 3)))[..., None, None]
+            move += x.sum(axis=(0, 1))
             for k in range(4):
-                best, arg = score[0] + move[0][k], 0
-                for p in (1, 2, 3):
-                    x = score[p] + move[p][k]
-                    if x > best:
-                        best, arg = x, p
-                new.append(best + e[k])
-                came.append(arg)
-            score = new
-            back.append(came)
-        k = max(range(4), key=score.__getitem__)
-        path = [k]
-        for came in reversed(back):
-            k = came[k]
-            path.append(k)
-        return path[::-1]
-
-
-def fit_lines(texts: list[str], rounds: int = 3) -> LineModel:
-    """Start from plain rules, then re-estimate from the most probable paths."""
-    seqs = [symbols(t.split("\n")) for t in texts]
-    model = LineModel.counted([(s, [first_guess(x, i) for i, x in enumerate(s)]) for s in seqs])
+                emit[k] += np.bincount(sym.ravel(), g[..., k].ravel(), N_SYMBOLS)
+                tail[k] += np.bincount(code[code >= 0], g[..., k][code >= 0], n_tail)
+        return np.concatenate([start, move.ravel(), emit.ravel(), tail.ravel()])
+
+    def refit(self, flat: np.ndarray) -> LineModel:
+        """The model of expected counts; what a state has not shown keeps a little of its former probability."""
+        ends = np.cumsum([4, 16, 4 * N_SYMBOLS, self.tail.size])
+        parts = [flat[: ends[0]], flat[ends[0] : ends[1]].reshape(4, 4), flat[ends[1] : ends[2]].reshape(4, N_SYMBOLS), flat[ends[2] : ends[3]].reshape(self.tail.shape)]
+        start, move, emit, tail = [(x + 20.0 * old) / (x + 20.0 * old).sum(axis=-1, keepdims=True) for x, old in zip(parts, (self.start, self.move, self.emit, self.tail))]
+        return LineModel(start, move, emit, tail, self.tails)
+
+    def decode(self, texts: list[tuple[list[int], list[int]]]) -> list[list[int]]:
+        """Most probable states of each text (Viterbi)."""
+        out: list[list[int]] = [[] for _ in texts]
+        move = np.log(self.move)
+        for part, sym, code, size in self.batches(texts):
+            e = np.log(np.maximum(self.emissions(sym, code), 1e-300))
+            came = np.zeros(sym.shape + (4,), np.int8)
+            score = np.log(self.start) + e[:, 0]
+            ends = np.zeros((len(part), 4))
+            ends[size == 1] = score[size == 1]
+            for t in range(1, sym.shape[1]):
+                x = score[:, :, None] + move
+                came[:, t] = x.argmax(axis=1)
+                score = x.max(axis=1) + e[:, t]
+                ends[size == t + 1] = score[size == t + 1]
+            path = np.zeros(sym.shape, np.int8)
+            k = ends.argmax(axis=1)
+            rows = np.arange(len(part))
+            for t in range(sym.shape[1] - 1, -1, -1):
+                here = t < size
+                path[here, t] = k[here]
+                k = np.where(here, came[rows, t, k], k) if t else k
+            for i, p, n in zip(part, path.tolist(), size.tolist()):
+                out[i] = p[:n]
+        return out
+
+    def lines(self, lines: list[str]) -> list[int]:
+        """States of one text's lines."""
+        symbols, tails = line_features(lines)
+        return self.decode([(symbols, self.codes(tails))])[0]
+
+
+def fit_lines(texts: DataFrame, column: str, rounds: int = ROUNDS) -> LineModel:
+    """The line model of all texts: their features are written once, each round sums expected counts over them; a fixed number of sums come to the driver."""
+
+    def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = [line_features(t.split("\n")) for t in b[column]]
+            yield pd.DataFrame({"symbols": [g[0] for g in got], "tails": [g[1] for g in got]})
+
+    features = spread(texts.where(F.length(column) > 0).select(column)).mapInPandas(seen, "symbols array<short>, tails array<string>")
+    features = cut(features)
+    words = cut(features.select(F.explode("tails").alias("t")).where("t <> ''").groupBy("t").agg(F.count("*").alias("n")))
+    total = words.agg(F.sum("n")).first()[0] or 0
+    tails = sorted(r["t"] for r in words.where(F.col("n") >= total * TAIL_SHARE).collect())
+    model = LineModel.first({t: i + 1 for i, t in enumerate(tails)})
     for _ in range(rounds):
-        model = LineModel.counted([(s, model.decode(s)) for s in seqs])
+
+        def expect(batches: Iterator[pd.DataFrame], model=model) -> Iterator[pd.DataFrame]:
+            total = None
+            for b in batches:
+                c = model.expected([(s.tolist(), model.codes(t.tolist())) for s, t in zip(b["symbols"], b["tails"])])
+                total = c if total is None else total + c
+            if total is not None:
+                at = np.flatnonzero(total)
+                yield pd.DataFrame({"i": at, "x": total[at]})
+
+        sums = features.mapInPandas(expect, "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).toPandas()
+        flat = np.zeros(4 + 16 + 4 * N_SYMBOLS + model.tail.size)
+        flat[sums["i"].to_numpy(int)] = sums["x"].to_numpy()
+        model = model.refit(flat)
     return model
 
 
@@ -298,14 +449,15 @@ def parted(line: str, following: str, lexicon: Lexicon) -> str | None:
     compound = f"{(lexicon.known(a) or a).lower()}-{(lexicon.known(b) or b).lower()}"
     if dash:
         before = re.search(rf"([{_LETTERS}]+)-$", line.rstrip()[: m.start(1)])
-        if compound in lexicon.compounds and (not whole or lexicon.compounds[compound] >= lexicon.words.get(whole, 0)):
+        joined = lexicon.compound(compound)
+        if joined and (not whole or joined >= lexicon.count(whole)):
             return None
         if not whole and lexicon.known(a) and lexicon.known(b) and len(a) > 3 and len(b) > 3 and not before:
             return None
         return whole or (a + b)
     if not whole or not b[0].islower() or len(whole) < 4:
         return None
-    if a.lower() in lexicon.words and b.lower() in lexicon.words:
+    if lexicon.count(a.lower()) and lexicon.count(b.lower()):
         return None
     return whole
 
@@ -316,10 +468,15 @@ class Repairer:
     def __init__(self, model: LineModel, lexicon: Lexicon):
         self.model, self.lexicon = model, lexicon
 
-    def read(self, text: str) -> tuple[list[str], list[int], list[str | None], list[bool]]:
+    def states(self, texts: list[str]) -> list[list[int]]:
+        """States of the lines of many texts."""
+        got = [line_features(t.split("\n")) for t in texts]
+        return self.model.decode([(s, self.model.codes(t)) for s, t in got])
+
+    def read(self, text: str, states: list[int] | None = None) -> tuple[list[str], list[int], list[str | None], list[bool]]:
         """Lines, their states, the whole word a line ends inside of, whether a word of running text on it is misread."""
         lines = text.split("\n")
-        states = self.model.decode(symbols(lines))
+        states = self.model.lines(lines) if states is None else states
         inside: list[str | None] = [None] * len(lines)
         wrong = [False] * len(lines)
         body = [i for i, s in enumerate(states) if s == CUERPO]
@@ -346,7 +503,7 @@ class Repairer:
         return lines, states, inside, wrong
 
     def misread(self, w: str) -> bool:
-        if w.lower() in self.lexicon.words or w.isdigit() or (len(w) == 1 and not _ODD.search(w)):
+        if self.lexicon.count(w.lower()) or w.isdigit() or (len(w) == 1 and not _ODD.search(w)):
             return False
         if self.lexicon.source(w) is not None:
             return True
@@ -359,9 +516,9 @@ class Repairer:
         p = piece.lower()
         return bool(p) and not (whole.startswith(p) if head else whole.endswith(p)) and p.translate(_FOLD) not in whole.translate(_FOLD)
 
-    def paragraphs(self, text: str) -> list[str]:
+    def paragraphs(self, text: str, states: list[int] | None = None) -> list[str]:
         """Continuous paragraphs of the running text: furniture left out, parted words joined, misread words restored."""
-        lines, states, inside, _ = self.read(text)
+        lines, states, inside, _ = self.read(text, states)
         out: list[str] = []
         words: list[str] = []
         join = ""
@@ -405,43 +562,85 @@ class Repairer:
         return PAGINA in states[before:after] and lines[after].strip()[:1].islower()
 
 
-def repairer(texts: DataFrame, column: str = "texto_extraccion") -> Repairer:
-    """Lexicon over all rows; line model on at most FIT_TEXTS texts."""
-    sample = texts.where(F.length(column) > 0).select(column).orderBy(F.xxhash64(column)).limit(FIT_TEXTS).collect()
-    return Repairer(fit_lines([r[0] for r in sample]), Lexicon(*word_counts(texts.where(F.col(column).isNotNull()), column)))
+def lexicon_of(rows: list) -> Lexicon:
+    return Lexicon({r["k"]: [(x["n"], x["t"]) for x in r["words"]] for r in rows})
 
 
-def marked_lines(texts: DataFrame, id_column: str = "id", column: str = "texto_extraccion") -> DataFrame:
-    """(texto_id, linea, tipo): tipo pagina, guion or caracter. Null and empty texts have no line; whole texts are read."""
-    tool = repairer(texts, column)
+def repair(texts: DataFrame, id_column: str, column: str, work, schema: str, most_words: int | None = None) -> DataFrame:
+    """work(tool, ids, texts, states) -> pandas frame, over all texts with a tool fitted on all of them.
+
+    The lexicon's most_words commonest skeletons go to every task. If there are more, each text is joined to the rest of
+    those that it asks for, so the result is the same as with all of them at hand.
+    """
+    spark = texts.sparkSession
+    most_words = MOST_WORDS if most_words is None else most_words
+    there = texts.select(id_column, column).where(F.length(column) > 0)
+    rows = cut(lexicon_rows(there, column))
+    model = fit_lines(there, column)
+    top = F.array_max(F.transform("words", lambda x: x["n"]))
+    size = rows.count()
+    near = rows if size <= most_words else rows.orderBy(top.desc(), "k").limit(most_words)
+    sent = spark.sparkContext.broadcast((model, lexicon_of(near.collect())))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model, lexicon = sent.value
+        tool = Repairer(model, lexicon)
         for b in batches:
-            ids, at, kind = [], [], []
-            for k, text in zip(b[id_column], b[column]):
-                if not text:
-                    continue
-                _, states, inside, wrong = tool.read(text)
-                for i, s in enumerate(states):
-                    for t, yes in (("pagina", s == PAGINA), ("guion", inside[i] is not None), ("caracter", wrong[i])):
-                        if yes:
-                            ids.append(k)
-                            at.append(i + 1)
-                            kind.append(t)
-            yield pd.DataFrame({"texto_id": np.array(ids, "int64"), "linea": np.array(at, "int64"), "tipo": np.array(kind, object)})
+            for at in range(0, len(b), 1000):
+                part = b.iloc[at : at + 1000]
+                body = part[column].tolist()
+                states = tool.states(body)
+                if "more" in part:
+                    for i, (t, st, more) in enumerate(zip(body, states, part["more"])):
+                        own = tool if more is None or not len(more) else Repairer(model, Lexicon({r["k"]: [(x["n"], x["t"]) for x in r["words"]] for r in more}, lexicon))
+                        yield work(own, part[id_column].iloc[i : i + 1].tolist(), [t], [st])
+                else:
+                    yield work(tool, part[id_column].tolist(), body, states)
+
+    if size <= most_words:
+        return spread(there).mapInPandas(run, schema)
+
+    def asked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model, lexicon = sent.value
+        tool = Repairer(model, lexicon)
+        for b in batches:
+            out = []
+            for key, t in zip(b["row"], b[column]):
+                lexicon.missing = set()
+                tool.read(t)
+                out += [(key, k) for k in lexicon.missing]
+            lexicon.missing = None
+            yield pd.DataFrame(out, columns=["row", "k"])
+
+    numbered = cut(there.withColumn("row", F.monotonically_increasing_id()))
+    rest = rows.join(near.select("k"), "k", "left_anti")
+    wanted = spread(numbered).mapInPandas(asked, "row long, k string").join(rest, "k").groupBy("row").agg(F.collect_list(F.struct("k", "words")).alias("more"))
+    return numbered.join(wanted, "row", "left").select(id_column, column, "more").mapInPandas(run, schema)
+
 
-    return spread(texts.select(id_column, column)).mapInPandas(run, "texto_id long, linea long, tipo string")
+def marked_lines(texts: DataFrame, id_column: str = "id", column: str = "texto_extraccion", most_words: int | None = None) -> DataFrame:
+    """(texto_id, linea, tipo): tipo pagina, guion or caracter. Null and empty texts have no line; whole texts are read."""
+
+    def work(tool: Repairer, ids: list, body: list[str], states: list[list[int]]) -> pd.DataFrame:
+        out = []
+        for k, text, own in zip(ids, body, states):
+            _, _, inside, wrong = tool.read(text, own)
+            out += [(k, i + 1, "pagina") for i, s in enumerate(own) if s == PAGINA]
+            out += [(k, i + 1, "guion") for i, w in enumerate(inside) if w is not None]
+            out += [(k, i + 1, "caracter") for i, w in enumerate(wrong) if w]
+        return pd.DataFrame(out, columns=["texto_id", "linea", "tipo"])
+
+    return repair(texts, id_column, column, work, "texto_id long, linea long, tipo string", most_words)
 
 
 def repaired(texts: DataFrame, id_column: str = "id", column: str = "texto_extraccion") -> DataFrame:
     """(texto_id, parrafos): the running text of each row as continuous paragraphs; null and empty texts have none."""
-    tool = repairer(texts, column)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"texto_id": b[id_column], "parrafos": ["\n\n".join(tool.paragraphs(t)) if t else "" for t in b[column]]})
+    def work(tool: Repairer, ids: list, body: list[str], states: list[list[int]]) -> pd.DataFrame:
+        return pd.DataFrame({"texto_id": ids, "parrafos": ["\n\n".join(tool.paragraphs(t, s)) for t, s in zip(body, states)]})
 
-    return spread(texts.select(id_column, column)).mapInPandas(run, "texto_id long, parrafos string")
+    full = repair(texts, id_column, column, work, "texto_id long, parrafos string")
+    return full.union(texts.where(F.coalesce(F.length(column), F.lit(0)) == 0).select(F.col(id_column).cast("long"), F.lit("")))
 
 
 def p2_found(spark, folder: str) -> DataFrame:
