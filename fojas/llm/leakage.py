@@ -17,6 +17,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from fojas.llm.scanned import bone
 from fojas.session import read_table, spread
@@ -25,10 +26,10 @@ from fojas.session import read_table, spread
 WINDOW = 8
 RADIUS = 7
 BLOCKS = 4
-#: Words of an item that an unbroken run must cover, and the share of its weight that must agree.
+#: Words of an item that a run must cover (about 20, less up to three that a misreading, parting or joining at its ends hides), and the share of its weight that must agree.
 RUN, AGREE = 17, 0.7
-#: Most words of items that are indexed; the index is sent to every task.
-MOST_ITEM_WORDS = 5_000_000
+#: About so many words of items are indexed at once: bounds what is sent to every task and the candidates of a window. More are searched for in several passes.
+INDEX_WORDS = 50_000
 CHUNK = 60_000
 
 _TOKEN = re.compile(r"[^\W_]+(?:[€+|!@$][^\W_]+)*[€+]?|[€+][^\W_]+")
@@ -66,9 +67,6 @@ class Index:
         folder = Folder()
         self.window = window
         self.items = {k: folder.words(t) for k, t in items if t}
-        total = sum(map(len, self.items.values()))
-        if total > MOST_ITEM_WORDS:
-            raise ValueError(f"the items have {total} words; at most {MOST_ITEM_WORDS} are indexed")
         seen = Counter(w for ws in self.items.values() for w in set(ws))
         n = max(len(self.items), 1)
         self.weights = {w: float(np.clip(np.log((n + 1) / (c + 0.5)), 0.5, 3.0)) for w, c in seen.items()}
@@ -198,16 +196,30 @@ class Index:
         return [(k, n, a) for k, (n, a) in best.items()]
 
 
-def leaked_items(documents: DataFrame, items: DataFrame, id_column: str = "doc_id", column: str = "text", item_id: str = "item_id", item_text: str = "texto") -> DataFrame:
+def leaked_items(documents: DataFrame, items: DataFrame, id_column: str = "doc_id", column: str = "text", item_id: str = "item_id", item_text: str = "texto", index_words: int | None = None) -> DataFrame:
     """(doc_id, item_id, palabras, acuerdo): documents that hold a run of at least RUN words of an item, with the longest run.
 
     All windows of all documents are compared, in whole texts; repeated documents are each reported. Null and empty
-    texts and items have no windows; an empty list of items gives an empty result. The items are held-out sets: they
-    are collected, and more than MOST_ITEM_WORDS words raise an error. One narrow pass, no shuffle.
+    texts and items have no windows; an empty list of items gives an empty result. Items are read in groups of about
+    index_words, by hash; each group is one narrow pass over the documents, without shuffle. Words are weighed by how
+    few items of the group have them.
     """
-    index = Index([(r[0], r[1]) for r in items.select(item_id, item_text).collect()])
+    words = items.select(F.sum(F.size(F.split(F.trim(item_text), r"\s+")))).first()[0] or 0
+    groups = max(1, -(-int(words) // (index_words or INDEX_WORDS)))
+    out = None
+    for g in range(groups):
+        own = items.where(F.col(item_text).isNotNull() & (F.pmod(F.xxhash64(item_id, item_text), F.lit(groups)) == g))
+        found = passages(documents, Index([(r[0], r[1]) for r in own.select(item_id, item_text).collect()]), id_column, column)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def passages(documents: DataFrame, index: Index, id_column: str, column: str) -> DataFrame:
+    """(doc_id, item_id, palabras, acuerdo) of the items of one index."""
+    sent = documents.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index = sent.value
         folder = Folder()
         for b in batches:
             out = []

@@ -76,3 +76,34 @@ def test_later_seeds_of_a_diagonal(spark):
     docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate([broken, quoted, short, twice], 1)], "doc_id long, text string")
     got = {r["doc_id"]: (r["palabras"], r["acuerdo"]) for r in L.leaked_items(docs, spark.createDataFrame([(7, " ".join(item))], "item_id long, texto string")).collect()}
     assert got == {1: (48, 1.0), 2: (30, 1.0), 4: (38, 1.0)}
+
+
+def test_items_in_several_passes(spark):
+    docs = spark.createDataFrame([(k, " ".join(words(30) + t.split()[5:40] + words(30))) for k, t in ITEMS], "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS, "item_id long, texto string")
+    got = {(r["doc_id"], r["item_id"]) for r in L.leaked_items(docs, items, index_words=200).collect()}
+    assert got == {(k, k) for k, _ in ITEMS} == {(r["doc_id"], r["item_id"]) for r in L.leaked_items(docs, items).collect()}
+
+
+def test_breaks_against_brute_force():
+    """Two to four changed words at any place of an item: the longest run of agreeing words on a diagonal decides."""
+    rng = random.Random(8)
+    ix = L.Index(ITEMS)
+    folder = L.Folder()
+    for k, text in ITEMS[:10]:
+        item = folder.words(text)
+        for at in range(0, 49, 3):
+            for n in (2, 3, 4):
+                w = text.split()
+                w[at : at + n] = words(len(w[at : at + n]), rng)
+                doc = folder.words(" ".join(words(15, rng) + w + words(15, rng)))
+                longest, here = 0, 0
+                for x, y in zip(doc[15:], item):
+                    here = here + 1 if x == y else 0
+                    longest = max(longest, here)
+                f = ix.fingerprints(ix.matrix(doc))
+                found = {x[0]: x[1] for x in ix.leaks(doc, *ix.near(f))}
+                if longest >= L.RUN:
+                    assert found.get(k, 0) >= longest
+                elif longest < L.RUN - 4:
+                    assert k not in found or found[k] < 2 * L.RUN
