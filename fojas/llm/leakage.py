@@ -55,9 +55,9 @@ class Folder:
 
 
 def signs(word: str, weight: float) -> np.ndarray:
-    """The word's 64 signs, weighted."""
+    """The word's 64 signs, weighted: at most 12 each, so that the sum over a window of eight words stays within a byte."""
     bits = np.unpackbits(np.frombuffer(xxhash.xxh64_digest(word, seed=9), np.uint8))
-    return ((bits.astype(np.int16) * 2 - 1) * round(weight * 4)).astype(np.int16)
+    return ((bits.astype(np.int8) * 2 - 1) * round(weight * 4)).astype(np.int8)
 
 
 class Index:
@@ -71,7 +71,7 @@ class Index:
         n = max(len(self.items), 1)
         self.weights = {w: float(np.clip(np.log((n + 1) / (c + 0.5)), 0.5, 3.0)) for w, c in seen.items()}
         self.vocabulary = {w: i for i, w in enumerate(self.weights)}
-        self.signs = np.stack([signs(w, x) for w, x in self.weights.items()] or [np.zeros(64, np.int16)])
+        self.signs = np.stack([signs(w, x) for w, x in self.weights.items()] or [np.zeros(64, np.int8)])
         keys, owner, place = [], [], []
         for k, ws in self.items.items():
             f = self.fingerprints(self.matrix(ws))
@@ -91,7 +91,7 @@ class Index:
 
     def matrix(self, words: list[str]) -> np.ndarray:
         """Signs of a text's words, [n, 64]; words that no item has weigh 1."""
-        out = np.empty((len(words), 64), np.int16)
+        out = np.empty((len(words), 64), np.int8)
         at = np.array([self.vocabulary.get(w, -1) for w in words], np.int64)
         known = at >= 0
         out[known] = self.signs[at[known]]
@@ -111,10 +111,14 @@ class Index:
         """SimHash of each window; a text shorter than a window has one of all its words."""
         if not len(m):
             return np.zeros(0, np.uint64)
-        total = np.cumsum(m, axis=0, dtype=np.int32)
         w = min(self.window, len(m))
-        sums = total[w - 1 :].copy()
-        sums[1:] -= total[: len(total) - w]
+        if w == 8:
+            # pairs, fours and eights of neighbours
+            m = m[:-1] + m[1:]
+            m = m[:-2] + m[2:]
+            sums = m[:-4] + m[4:]
+        else:
+            sums = sum(m[k : len(m) - w + 1 + k].astype(np.int32) for k in range(w))
         return np.packbits(sums > 0, axis=1).view(">u8").ravel().astype(np.uint64)
 
     def near(self, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
