@@ -3,6 +3,12 @@
 The entries and their alias paths (words joined, reordered, abbreviated, misread) are laid in a trie that is searched
 with a Levenshtein automaton: a state is the row of edit distances of the text's prefixes to the path so far, and a
 branch is left as soon as no distance in its row is allowed. The allowed distance grows with the text's length.
+
+All entries found come out, each with its cost: the edits, plus 0.2 for joined and 0.3 for reordered or abbreviated words,
+0.4 for skeletons. Looked up besides, in this order: skeletons, if the text holds digits or nothing was near; entries that
+the text (three letters or more) is the beginning of, at 0.5 and 0.1 per missing letter; and, for a text of four letters
+that nothing was found for, entries within two edits. The cheapest entry is the one meant, of several the one of nearest
+length, then the smaller; these are marked as ambiguous.
 """
 
 from __future__ import annotations
@@ -12,12 +18,13 @@ from collections.abc import Iterator
 from itertools import permutations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fojas.functions.reading import ACCENTED, PLAIN, canonical_field, strip_space
+from fojas.functions.text import rx
 from fojas.llm.misread import skeleton_text
-from fojas.session import read_table, spread
+from fojas.session import cut, read_table, spread
 
 # Abbreviations in use for words of colours, places and makes.
 ABBREVIATIONS = {
@@ -29,7 +36,7 @@ ABBREVIATIONS = {
 # Labels that stand before or after a value on the sheets.
 LABELS_BEFORE = r"^(?:COLOR|COL|MARCA|COMUNA DE|COMUNA)\b[.: ]*"
 LABELS_AFTER = r"(?:[ /]+(?:COMBUSTIBLE|ANO|ANIO|MODELO|CHASIS|MOTOR|CIUDAD|REGION|FONO|COLOR|MARCA|COMUNA|SERIE|VIN))+$"
-#: Longest list a trie is built for on every executor.
+#: Most entries of one trie; of a longer list several are built, one after the other.
 MOST_ENTRIES = 200_000
 
 _FOLD = str.maketrans(ACCENTED, PLAIN)
@@ -46,6 +53,15 @@ def tidy(text: str) -> str:
     return "".join(words) if len(words) >= 3 and all(len(w) == 1 for w in words) else t
 
 
+def tidied(c: Column) -> Column:
+    """The same as a column expression."""
+    t = F.regexp_replace(F.translate(F.upper(c), ACCENTED, PLAIN), r"[\"'()\[\]]", " ")
+    t = F.regexp_replace(F.regexp_replace(F.replace(t, F.lit("-"), F.lit(" ")), rx(r"\s+"), " "), r"^[ ./,:;]+|[ ./,:;]+$", "")
+    t = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, rx(LABELS_BEFORE), ""), LABELS_AFTER, ""), r"^[ ./,:;]+|[ ./,:;]+$", "")
+    t = F.trim(F.regexp_replace(t, r"[.,;:]+ ?", " "))
+    return F.when(t.rlike(r"^[^ ]( [^ ]){2,}$"), F.replace(t, F.lit(" "), F.lit(""))).otherwise(t)
+
+
 def allowed(length: int) -> int:
     """Edits allowed for a text of so many characters."""
     return 0 if length < 3 else 1 if length < 5 else 2 if length < 12 else 3
@@ -146,43 +162,67 @@ class Trie:
         return sorted((c, e) for e, c in best.items())
 
 
-def map_values(rows: DataFrame, entries: dict[str, list[str]], keep: list[str]) -> DataFrame:
-    """Adds termino ('' if the list has none), distancia and candidatos to rows (keep, campo, valor).
+ENTRIES = "array<struct<entrada: string, distancia: double>>"
 
-    No shuffle: every task looks each distinct value up once. Null and blank values drop out; values of fields without
-    list and empty lists give ''. Ties go to the entry of nearest length, then to the smaller text.
-    """
-    for name, list_ in entries.items():
-        if len(list_) > MOST_ENTRIES:
-            raise ValueError(f"the list for {name} has {len(list_)} entries; tries are built for at most {MOST_ENTRIES}")
-    types = {f.name: f.dataType.simpleString() for f in rows.schema}
-    out = ", ".join(f"`{c}` {types[c]}" for c in keep) + ", campo string, valor string, termino string, distancia double, candidatos int"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tries = {k: Trie(v) for k, v in entries.items()}
-        seen: dict[tuple[str, str], tuple[str, float, int]] = {}
-
-        def look(key: tuple[str, str]) -> tuple[str, float, int]:
-            if key not in seen:
-                if len(seen) > 500_000:
-                    seen.clear()
-                found = tries[key[0]].candidates(key[1]) if key[0] in tries else []
-                least = found[0][0] if found else 0.0
-                near = sorted((abs(len(e) - len(tidy(key[1]))), e) for c, e in found if c <= least + 1e-9)
-                seen[key] = (near[0][1], least, len(found)) if near else ("", -1.0, 0)
-            return seen[key]
+def candidate_entries(rows: DataFrame, entries: dict[str, list[str]]) -> DataFrame:
+    """rows (..., campo, valor) with entradas: the entries of the field's list within the allowed distance, cheapest first. One narrow pass; every task looks each distinct value up once."""
+    sent = rows.sparkSession.sparkContext.broadcast(entries)
+    fields = rows.columns
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tries = {k: Trie(v) for k, v in sent.value.items()}
+        seen: dict[tuple[str, str], list[dict]] = {}
         for b in batches:
-            got = [look(k) for k in zip(b["campo"], b["valor"])]
-            yield b.assign(termino=[g[0] for g in got], distancia=[g[1] for g in got], candidatos=[g[2] for g in got])
+            out = []
+            for key in zip(b["campo"], b["valor"]):
+                if key not in seen:
+                    if len(seen) > 500_000:
+                        seen.clear()
+                    seen[key] = [{"entrada": e, "distancia": c} for c, e in (tries[key[0]].candidates(key[1]) if key[0] in tries else [])]
+                out.append(seen[key])
+            yield b[fields].assign(entradas=out)
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return spread(rows).mapInPandas(run, f"{schema}, entradas {ENTRIES}")
+
 
+def map_values(rows: DataFrame, entries: dict[str, list[str]], keep: list[str], most_entries: int | None = None) -> DataFrame:
+    """(keep, campo, valor, termino, distancia, ambiguo, entradas): rows (keep, campo, valor) with the entry meant ('' if the list has none, distancia -1 then), whether another one is as near, and all entries within the distance.
+
+    No shuffle unless a list is longer than one trie holds. Null and blank values drop out; values of fields without
+    list and empty lists give ''.
+    """
+    size = most_entries or MOST_ENTRIES
     kept = rows.where(F.trim(F.regexp_replace("valor", r"[\s ]+", " ")) != "").select(*keep, "campo", "valor")
-    return spread(kept).mapInPandas(run, out)
+    parts = max([1, *(-(-len(v) // size) for v in entries.values())])
+    if parts == 1:
+        found = candidate_entries(kept, entries)
+    else:
+        numbered = cut(kept.withColumn("fila", F.monotonically_increasing_id()))
+        found = None
+        for i in range(parts):
+            part = candidate_entries(numbered, {k: v[i * size : (i + 1) * size] for k, v in entries.items()})
+            found = part if found is None else found.unionByName(part)
+        columns = [*keep, "campo", "valor"]
+        found = found.groupBy("fila").agg(*[F.first(c).alias(c) for c in columns], F.flatten(F.collect_list("entradas")).alias("entradas"))
+        found = found.select(*columns, F.array_sort("entradas", lambda x, y: F.when(x["distancia"] != y["distancia"], F.signum(x["distancia"] - y["distancia"]).cast("int")).when(x["entrada"] < y["entrada"], -1).otherwise(1)).alias("entradas"))
+    return found.select(*keep, "campo", "valor", "entradas").transform(chosen)
+
+
+def chosen(found: DataFrame) -> DataFrame:
+    """Adds termino, distancia and ambiguo by entradas."""
+    length = F.length(tidied(F.col("valor")))
+    near = F.filter("entradas", lambda x: x["distancia"] <= F.get(F.col("entradas"), F.lit(0))["distancia"] + 1e-9)
+    best = F.array_min(F.transform(near, lambda x: F.struct(F.abs(F.length(x["entrada"]) - length).alias("d"), x["entrada"].alias("e"))))["e"]
+    return found.withColumns({
+        "termino": F.coalesce(best, F.lit("")), "distancia": F.coalesce(F.get(F.col("entradas"), F.lit(0))["distancia"], F.lit(-1.0)), "ambiguo": F.size(near) > 1,
+    })
 
 
 def dictionary(spark, folder: str, name: str, column: str) -> list[str]:
-    """Entries in upper case without outer blanks, each once; the list is collected, so its size is checked by the caller."""
-    rows = read_table(spark, folder, name).select(F.upper(strip_space(F.col(column))).alias("e")).where("e <> ''").distinct().orderBy("e").limit(MOST_ENTRIES + 1)
+    """Entries in upper case without outer blanks, each once: a reference list, read whole."""
+    rows = read_table(spark, folder, name).select(F.upper(strip_space(F.col(column))).alias("e")).where("e <> ''").distinct().orderBy("e")
     return [r["e"] for r in rows.collect()]
 
 
@@ -193,10 +233,8 @@ LISTS = {"color": ("diccionario_colores", "color"), "marca": ("diccionario_marca
 def p7_mapping(spark, folder: str) -> DataFrame:
     lists = {f: dictionary(spark, folder, *where) for f, where in LISTS.items()}
     rows = read_table(spark, folder, "campos").select(F.col("id").alias("campo_id"), canonical_field(F.col("campo")).alias("campo"), "valor").where(F.col("campo").isin(*LISTS))
-    exact = F.lit(False)
-    for f, entries in lists.items():
-        exact = exact | ((F.col("campo") == f) & F.col("valor").isin(entries))
-    return map_values(rows.where(~exact), lists, ["campo_id"])
+    exact = spark.createDataFrame([(f, e) for f, entries in lists.items() for e in entries], "campo string, valor string")
+    return map_values(rows.join(exact, ["campo", "valor"], "left_anti"), lists, ["campo_id"])
 
 
 def p7_found(spark, folder: str) -> DataFrame:

@@ -47,3 +47,27 @@ def test_table(spark):
     assert got == [(1, "ROJO"), (1, "ROJO"), (4, ""), (5, "")]
     assert C.map_values(rows.where("campo_id < 0"), {"color": COLOURS}, ["campo_id"]).count() == 0
     assert [r["termino"] for r in C.map_values(rows.where("campo_id = 4"), {"color": []}, ["campo_id"]).collect()] == [""]
+
+
+def test_all_entries_and_ambiguity(spark):
+    rows = spark.createDataFrame([(1, "color", "VERDE"), (2, "color", "ROSADA"), (3, "color", "AZUL")], "campo_id long, campo string, valor string")
+    got = {r["campo_id"]: r for r in C.map_values(rows, {"color": COLOURS}, ["campo_id"]).collect()}
+    assert {e["entrada"] for e in got[1]["entradas"]} == {"VERDE OLIVA", "VERDE AGUA"} and got[1]["termino"] == "VERDE AGUA" and not got[1]["ambiguo"]
+    assert got[2]["termino"] == "ROSADO" and got[3]["termino"] == "AZUL" and {"AZUL", "AZUL MARINO"} <= {e["entrada"] for e in got[3]["entradas"]}
+    same = {r["campo_id"]: r for r in C.map_values(rows, {"color": ["SAN JUAN", "SAN JOSE"]}, ["campo_id"]).collect()}
+    assert all(r["termino"] == "" and r["distancia"] == -1.0 and r["entradas"] == [] for r in same.values())
+    tie = C.map_values(spark.createDataFrame([(1, "c", "SANTA")], rows.schema), {"c": ["SANTA FE", "SANTA CE"]}, ["campo_id"]).first()
+    assert tie["ambiguo"] and tie["termino"] == "SANTA CE"
+
+
+def test_long_lists_in_several_tries(spark):
+    rows = spark.createDataFrame([(i, "color", v) for i, v in enumerate(["roja", "vrede olvia", "AZUL MARNO", "VERDE", "TORNASOL", "VERDE"])], "campo_id long, campo string, valor string")
+    rows = rows.withColumn("fila", F.lit(0)).select("campo_id", "campo", "valor")
+    want = sorted(map(str, C.map_values(rows, {"color": COLOURS}, ["campo_id"]).collect()))
+    assert sorted(map(str, C.map_values(rows, {"color": COLOURS}, ["campo_id"], 3).collect())) == want
+
+
+def test_tidy_column_is_the_function(spark):
+    values = ["COLOR: vrede  olvia.", "R O J O", "\"Ñandú\" (gris)", "COMUNA DE SAN-JUAN / CIUDAD", "a.b,c", ""]
+    df = spark.createDataFrame([(v,) for v in values], "v string").select("v", C.tidied(F.col("v")).alias("t"))
+    assert all(r["t"] == C.tidy(r["v"]) for r in df.collect())
