@@ -53,9 +53,17 @@ _BONE_TABLE = str.maketrans({"1": "i", "|": "i", "!": "i", "0": "o", "€": "e",
 _WRITTEN_OUT = str.maketrans({"m": "rn", "d": "ci", "h": "ii", "u": "ii", "w": "vv", "l": "i"})
 
 
+# the three steps in one
+_BONE = {c: chr(c).translate(_FOLD).translate(_BONE_TABLE).translate(_WRITTEN_OUT) for c in {*_FOLD, *_BONE_TABLE, *_WRITTEN_OUT}}
+
+
 def bone(word: str) -> str:
     """Skeleton of a word, equal for a word and its misreadings."""
-    return word.lower().translate(_FOLD).translate(_BONE_TABLE).translate(_WRITTEN_OUT)
+    return word.lower().translate(_BONE)
+
+
+def unaccented(text: str) -> str:
+    return text if text.isascii() else text.translate(_FOLD)
 
 
 def misread_of(seen: str, word: str) -> bool:
@@ -182,6 +190,7 @@ _MONEY = re.compile(r"^\W*[\d.,$€ ]*\d\W*$")
 _LABEL = re.compile(r"^[^a-z:]{2,24}(?:\([A-Z]+\))?:|^(?:N°|MONTO|IVA|TOTAL|NETO)\b")
 _LOWER = re.compile(r"\b[a-záéíóúüñ][a-záéíóúüñ0-9€+]+")
 SHAPES = 10
+_DIGITS = re.compile(r"\d+")
 
 
 def page_number(t: str) -> bool:
@@ -225,7 +234,7 @@ def shape_of(t: str) -> int:
 def facts(t: str) -> tuple[int, str, str, bool, str]:
     """Of a stripped line: shape, digits masked, skeleton (of lines that can be furniture), whether it can head a page, closing word."""
     shape = shape_of(t)
-    masked = re.sub(r"\d+", "#", t.upper().translate(_FOLD)) if t and len(t) < 90 else ""
+    masked = _DIGITS.sub("#", unaccented(t.upper())) if t and len(t) < 90 else ""
     heads = len(t) > 6 and not re.match(r"^[^:]{1,20}:", t)
     return shape, masked, bone(t) if heads or shape in (7, 8, 9) else "", heads, closing(t) if shape in (7, 8, 9) and len(t) < 110 else ""
 
@@ -431,16 +440,23 @@ def fit_lines(texts: DataFrame, column: str, rounds: int = ROUNDS) -> LineModel:
     return model
 
 
-_TAIL = re.compile(rf"([{_LETTERS}0-9€+|!]+)(\s*[-¬­]\s*)?$")
+_BACK = re.compile(rf"(?:[-¬­]\s*)?([{_LETTERS}0-9€+|!]+)")
 _HEAD = re.compile(rf"^\W*?([{_LETTERS}0-9€+|!]+)")
 
 
+def tail_of(line: str) -> tuple[str, int, bool] | None:
+    """(last word of a line, where it begins, whether a hyphen follows), or None if the line ends in something else."""
+    t = line.rstrip()
+    m = _BACK.match(t[::-1])
+    return (m[1][::-1], len(t) - m.end(), m.start(1) > 0) if m else None
+
+
 def parted(line: str, following: str, lexicon: Lexicon) -> str | None:
     """The whole word if line ends inside a word that following goes on with, else None."""
-    m, n = _TAIL.search(line.rstrip()), _HEAD.match(following.strip())
+    m, n = tail_of(line), _HEAD.match(following.strip())
     if not m or not n:
         return None
-    a, b, dash = m[1], n[1], bool(m[2])
+    (a, begin, dash), b = m, n[1]
     if following.strip()[: n.start(1)].strip():
         return None
     if a.isdigit() or b.isdigit():
@@ -448,7 +464,7 @@ def parted(line: str, following: str, lexicon: Lexicon) -> str | None:
     whole = lexicon.known(a + b)
     compound = f"{(lexicon.known(a) or a).lower()}-{(lexicon.known(b) or b).lower()}"
     if dash:
-        before = re.search(rf"([{_LETTERS}]+)-$", line.rstrip()[: m.start(1)])
+        before = re.search(rf"([{_LETTERS}]+)-$", line.rstrip()[:begin])
         joined = lexicon.compound(compound)
         if joined and (not whole or joined >= lexicon.count(whole)):
             return None
@@ -462,11 +478,26 @@ def parted(line: str, following: str, lexicon: Lexicon) -> str | None:
     return whole
 
 
+class Judged(dict):
+    """Answers of a function by word, kept."""
+
+    def __init__(self, judge):
+        super().__init__()
+        self.judge = judge
+
+    def __missing__(self, w: str) -> bool:
+        if len(self) > 300_000:
+            self.clear()
+        out = self[w] = self.judge(w)
+        return out
+
+
 class Repairer:
     """Labels, marks and repairs one text."""
 
     def __init__(self, model: LineModel, lexicon: Lexicon):
         self.model, self.lexicon = model, lexicon
+        self.judged = Judged(self.misread)
 
     def states(self, texts: list[str]) -> list[list[int]]:
         """States of the lines of many texts."""
@@ -495,7 +526,7 @@ class Repairer:
             words = _WORD.findall(lines[i])
             first = 1 if i in begun else 0
             last = len(words) - 1 if inside[i] else len(words)
-            wrong[i] = any(self.misread(w) for w in words[first:last])
+            wrong[i] = any(map(self.judged.__getitem__, words[first:last]))
             if inside[i]:
                 wrong[i] = wrong[i] or self.fragment(words[-1] if words else "", inside[i].lower(), True)
             if i in begun and words:
@@ -531,10 +562,10 @@ class Repairer:
                     t = join + (t[n.end() :] if n else t)
                     join = ""
                 if inside[i]:
-                    m = _TAIL.search(t.rstrip())
+                    m = tail_of(t)
                     if m:
-                        join = inside[i] if not m[1][0].isupper() else inside[i][0].upper() + inside[i][1:]
-                        t = t[: m.start()].rstrip()
+                        join = inside[i] if not m[0][0].isupper() else inside[i][0].upper() + inside[i][1:]
+                        t = t[: m[1]].rstrip()
                 if t:
                     words.append(_WORD.sub(self.restored, t))
             elif s == CORTE and not join and words and not self.continues(lines, states, i):
@@ -607,6 +638,7 @@ def repair(texts: DataFrame, id_column: str, column: str, work, schema: str, mos
             out = []
             for key, t in zip(b["row"], b[column]):
                 lexicon.missing = set()
+                tool.judged.clear()
                 tool.read(t)
                 out += [(key, k) for k in lexicon.missing]
             lexicon.missing = None
