@@ -554,7 +554,7 @@ def enabled_method_texts(spark, d):
     return enabled_texts(read_table(spark, d, "textos"), Settings(methods=("doctr", "nativo"))).select("id")
 
 
-for _name, _f in (("p4_found", eav.p4_found), ("p4_wide", eav.p4_wide), ("p5_found", units.p5_found), ("p5_common_units", units.p5_common_units)):
+for _name, _f in (("p4_found", eav.p4_found), ("p4_wide", eav.p4_wide), ("p5_found", units.p5_found), ("p5_common_units", units.p5_common_units), ("p5_hidden_units", units.p5_hidden_units)):
     QUERIES[_name] = _f
 
 
