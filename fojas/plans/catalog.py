@@ -17,6 +17,7 @@ from fojas.functions.text import clean_value, entropy, footer, header_and_body,
 from fojas.operators import agreement, audit, consolidate, eav, register, state, units
 from fojas.operators import dictionary as terms
 from fojas.operators.extraction import Dictionaries, extract_rows, extract_wide
+from fojas.plans import oracle
 from fojas.plans.pipeline import below_minimum, score_fields
 from fojas.schema import FIELDS, TARGET_FIELDS
 from fojas.session import read_table, spread
@@ -563,5 +564,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    return SQL | oracle.pieces() | oracle.catalogued(TOP1.format(where="TRUE"), SCORE, SQL["publish_wide"], YEAR)
 
