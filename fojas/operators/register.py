@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fojas.functions.text import strip
+
 
 def register(incoming: DataFrame, registered: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Incoming files that aren't registered under the same hash and name, each once (JOIN5, SNK1)."""
@@ -70,3 +72,19 @@ def blocks_in_reading_order(blocks: Column) -> Column:
 def intake_names(files: DataFrame, column: str = "nombre_archivo") -> DataFrame:
     """PDF names in any case, without hidden and temporary ones (SRC3, SRC4, FLT9)."""
     return files.where(F.lower(column).endswith(".pdf") & ~F.col(column).rlike(r"^[.~]"))
+
+
+def valid_text(content: Column) -> Column:
+    """Text of UTF-8 bytes, invalid sequences dropped."""
+    return F.replace(F.make_valid_utf8(content.cast("string")), F.lit("�"), F.lit(""))
+
+
+def native_text(pages: Column) -> Column:
+    """Text of a document's pages (an array), each under its header (OCR6)."""
+    headed = F.transform(pages, lambda p, i: F.concat(F.lit("\n--- Página "), (i + 1).cast("string"), F.lit(" ---\n"), strip(F.coalesce(p, F.lit(""))), F.lit("\n")))
+    return strip(F.array_join(headed, ""))
+
+
+def upload_result(size: Column, there: Column, force: bool = False) -> Column:
+    """Bytes that publishing a file transfers: 0 where it is already there and not forced, -1 where there is nothing to send, else its size (SNK10)."""
+    return F.when(size.isNull(), -1).when(there & F.lit(not force), 0).otherwise(size).cast("long")
