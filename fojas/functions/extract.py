@@ -33,7 +33,16 @@ from fojas.functions.text import (
 DOC_NUMBER = r"(?<!\w)(?:N[º°9*]?\s*[:\-]?\s*|N\s*[Oo]\s*[:\-]?\s*|FOLIO\s*[:\-]?\s*|NO\s*[:\-]?\s*)(\d{5,})(?!\w)"
 BUYER_ANCHOR = r"(?<!\w)(?:N[º°9]?\s*[:\-]?\s*|N\s*[Oo]\s*[:\-]?\s*|FOLIO\s*[:\-]?\s*|NO\s*[:\-]?\s*)(\d{5,})(?!\w)"
 ID_NUMBER = r"(?<!\d)(?:\d{1,3}(?:\.\d{3}){1,2}|\d{7,8})-[\dkK](?!\d)"
-TAX_OFFICE = [rf"\b{a}[\.\s\-]*{b}[\.\s\-]*{c}[\.\s\-]*" for a, b, c in ("SII", "S11", "5II", "SLL", "SI1", "S1I", "SLI", "SI1")]
+TAX_OFFICE = [
+    r"\bS[\.\s\-]*I[\.\s\-]*I[\.\s\-]*",
+    r"\bS[\.\s\-]*1[\.\s\-]*1[\.\s\-]*",
+    r"\b5[\.\s\-]*I[\.\s\-]*I[\.\s\-]*",
+    r"\bS[\.\s\-]*L[\.\s\-]*L[\.\s\-]*",
+    r"\bS[\.\s\-]*I[\.\s\-]*1[\.\s\-]*",
+    r"\bS[\.\s\-]*1[\.\s\-]*I[\.\s\-]*",
+    r"\bS[\.\s\-]*L[\.\s\-]*I[\.\s\-]*",
+    r"\bS[\.\s\-]*I[\.\s\-]*1[\.\s\-]*",
+]
 MONTHS_LONG = "(?:ENERO|FEBRERO|MARZO|ABRIL|MAYO|JUNIO|JULIO|AGOSTO|SEPTIEMBRE|OCTUBRE|NOVIEMBRE|DICIEMBRE)"
 MONTHS_SHORT = "(?:ENE|FEB|MAR|ABR|MAY|JUN|JUL|AGO|SEP|OCT|NOV|DIC)"
 DATES = [

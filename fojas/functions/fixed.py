@@ -80,6 +80,11 @@ COMMON_MAKES = [
 ]
 # Colours used where no list is given.
 COMMON_COLOURS = ["ROJO", "AZUL", "VERDE", "NEGRO", "BLANCO", "AMARILLO", "MORADO", "GRIS", "NARANJA"]
+# Kinds of bodywork used where no list is given.
+BODY_KINDS = [
+    "TRANSPORTE DE GAS", "ALJIBE (ESTANQUE PARA AGUA)", "ESTANQUE PARA COMBUSTIBLE", "ESTANQUE OTROS PRODUCTOS", "PORTA AUTOMOVILES", "PORTA CONTENEDOR", "OTRA (No SPIEV)",
+    "PLATAFORMA BAJA", "GRUA PLATAFORMA", "FRIGORIFICO", "PLATAFORMA", "POLIBRAZO", "ASPIRADOR", "BASURERO", "BETONERA", "STANQUE", "BARANDA", "FURGON", "ALJIBE", "TOLVA", "GRUA",
+]
 # Axle arrangements.
 AXLES = [
     "S4-S4", "S4-D8", "S4", "S2-D8", "D8", "T12", "S2-S4", "C16", "S2-S2", "D4-D8", "S2-T12", "D4-T12", "T10", "S2-D6", "E48", "D4", "S2", "C32", "D4-D6",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fojas.functions.normalize import publish_date
 from fojas.functions.text import strip
 from fojas.schema import FIELDS
+from fojas.session import cut
 
 #: Rank of methods among equal scores; methods not listed rank last.
 METHOD_RANK = {"easyocr": 3, "doctr": 2, "paddleocr": 1}
@@ -106,16 +107,19 @@ def document_fields(fields: DataFrame, consolidated: DataFrame, doc_id: int, met
     return rows.where(F.col("documento_id") == doc_id).select("campo", "valor").orderBy(field_order(F.col("campo")), "campo", "valor")
 
 
-def neighbours(docs: DataFrame, bucket: int = 1 << 20) -> DataFrame:
+def neighbours(docs: DataFrame) -> DataFrame:
     """(id, anterior, siguiente): the ids before and after each id; its own where there is none (AGG4).
 
-    Ids are ranged into buckets, so that no task orders all of them; a bucket's edges come from the extremes of the
-    filled buckets, of which there are few.
+    Ids are sorted into ranges of even size whatever their spread, one per partition; a range's outer neighbours are the
+    extremes of the ranges beside it, of which there is one row per partition.
     """
-    ids = docs.select("id").distinct().withColumn("b", F.floor(F.col("id") / bucket))
+    spark = docs.sparkSession
+    ranges = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # written once: the ranges are drawn by sampling, and both uses below must see the same ones
+    ids = cut(docs.select("id").where(F.col("id").isNotNull()).distinct().repartitionByRange(ranges, "id").withColumn("b", F.spark_partition_id()))
     own = Window.partitionBy("b").orderBy("id")
     within = ids.withColumn("p", F.lag("id").over(own)).withColumn("n", F.lead("id").over(own))
-    ends = ids.groupBy("b").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
     order = Window.orderBy("b")
+    ends = ids.groupBy("b").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
     edges = ends.select("b", F.lag("hi").over(order).alias("before"), F.lead("lo").over(order).alias("after"))
-    return within.join(edges, "b").select("id", F.coalesce("p", "before", "id").alias("anterior"), F.coalesce("n", "after", "id").alias("siguiente"))
+    return within.join(F.broadcast(edges), "b").select("id", F.coalesce("p", "before", "id").alias("anterior"), F.coalesce("n", "after", "id").alias("siguiente"))

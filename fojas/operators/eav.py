@@ -43,7 +43,7 @@ def best_readings(rows: DataFrame, fields: list[str], kinds: dict[str, str]) ->
         "documento_id", F.element_at(pos, F.col("campo")).alias("pos"), typed_text(F.element_at(kind, F.col("campo")), F.col("valor")).alias("v"), "score"
     )
     counted = read.where(F.col("v").isNotNull()).groupBy("documento_id", "pos", "v").agg(F.count("*").alias("n"), F.max("score").alias("s"))
-    return counted.groupBy("documento_id", "pos").agg(F.max_by("v", F.struct("n", "s", F.hash("v"), "v")).alias("v"))
+    return counted.groupBy("documento_id", "pos").agg(F.min_by("v", F.struct(-F.col("n"), -F.col("s"), F.col("v"))).alias("v"))
 
 
 def eav_to_wide(rows: DataFrame, fields: list[str] | None = None, kinds: dict[str, str] | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fojas.functions import extract as X
-from fojas.functions.fixed import COMMON_COLOURS, COMMON_MAKES
+from fojas.functions.fixed import BODY_KINDS, COMMON_COLOURS, COMMON_MAKES
 from fojas.functions.fuzzy import fuzzy_fields
 from fojas.functions.text import clean_value, first_filled, footer, header_and_body, longest_first, normalize_text
 from fojas.operators.eav import wide_to_eav
@@ -18,13 +18,13 @@ from fojas.session import spread
 
 @dataclass
 class Dictionaries:
-    """Lists of terms the extractors look up; all are inputs."""
+    """Lists of terms the extractors look up; all are inputs. Without cities the communes are looked for."""
 
     communes: list[str] = field(default_factory=list)
     cities: list[str] = field(default_factory=list)
     makes: list[str] = field(default_factory=lambda: list(COMMON_MAKES))
     colours: list[str] = field(default_factory=lambda: list(COMMON_COLOURS))
-    bodies: list[str] = field(default_factory=list)
+    bodies: list[str] = field(default_factory=lambda: list(BODY_KINDS))
     prefixes: list[tuple[str, str]] | None = None
 
 
@@ -35,7 +35,7 @@ EXTRACTORS: dict[str, tuple[str, object, bool]] = {
     "nombre_proveedor": ("cabecera", lambda t, d: X.supplier_name(t), True), "rut_comprador": ("cabecera", lambda t, d: X.buyer_id(t), False),
     "nombre_comprador": ("cabecera", lambda t, d: X.buyer_name(t), True), "direccion_comprador": ("cabecera", lambda t, d: X.buyer_address(t, d.communes), True),
     "telefono_comprador": ("cabecera", lambda t, d: X.buyer_phone(t), False), "comuna_comprador": ("cabecera", lambda t, d: X.buyer_commune(t, d.communes), False),
-    "ciudad_comprador": ("cabecera", lambda t, d: X.buyer_city(t, d.cities), False), "placa_patente": ("cuerpo", lambda t, d: X.plate(t), False),
+    "ciudad_comprador": ("cabecera", lambda t, d: X.buyer_city(t, d.cities or d.communes), False), "placa_patente": ("cuerpo", lambda t, d: X.plate(t), False),
     "tipo_vehiculo": ("cuerpo", lambda t, d: X.vehicle_type(t), False), "modelo": ("cuerpo", lambda t, d: X.model(t), False), "n_motor": ("cuerpo", lambda t, d: X.engine_number(t), False),
     "n_chasis": ("cuerpo", lambda t, d: X.chassis_number(t), False), "vin": ("cuerpo", lambda t, d: X.vehicle_number(t), False), "serie": ("cuerpo", lambda t, d: X.series(t), False),
     "color": ("cuerpo", lambda t, d: X.colour(t, d.colours), False), "anio": ("cuerpo", lambda t, d: X.year(t), True), "unidad_pbv": ("cuerpo", lambda t, d: X.weight_unit(t), False),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fojas.functions import extract as X
 from fojas.functions import normalize as N
-from fojas.functions.fixed import BODY_WORDS, YEAR_SIGNS
+from fojas.functions.fixed import BODY_WORDS, REPORT_CODE_PREFIXES, YEAR_SIGNS
 from fojas.functions.fuzzy import axles_of, document_type_of, fuzzy_fields
 from fojas.functions.reading import ACCENTED, PLAIN, let, literal_map
 from fojas.functions.score import check_digit, score_reading
@@ -81,11 +81,12 @@ def publish_wide(spark, d):
 
 
 @query(
-    "SELECT d.id AS documento_id, d.nombre_archivo, coalesce(nullif(d.archivo_padre, ''), d.nombre_archivo) AS archivo_padre, d.numero_paginas, d.tamano_bytes, max(CASE WHEN campo = 'marca' THEN valor END) AS marca, "
-    "max(CASE WHEN campo = 'color' THEN valor END) AS color, 'script_pdf_copy' AS metodo FROM documentos d JOIN consolidada c ON c.documento_id = d.id AND c.deleted_at IS NULL AND c.campo IN ('marca', 'color') GROUP BY ALL"
+    "SELECT d.id AS documento_id, d.nombre_archivo, coalesce(nullif(d.archivo_padre, ''), d.nombre_archivo) AS archivo_padre, d.numero_paginas, d.tamano_bytes, "
+    + ", ".join((r"regexp_replace(max(CASE WHEN campo = 'fecha_documento' THEN valor END), '^([^-]*)-([^-]*)-([^-]{4})$', '\3-\2-\1')" if f == "fecha_documento" else f"max(CASE WHEN campo = '{f}' THEN valor END)") + f" AS {f}" for f in FIELDS)
+    + f", 'script_pdf_copy' AS metodo FROM documentos d JOIN consolidada c ON c.documento_id = d.id AND c.deleted_at IS NULL AND c.campo IN ({', '.join(repr(f) for f in FIELDS)}) GROUP BY ALL"
 )
 def publish_with_documents(spark, d):
-    return consolidate.publish_wide(consolidate.live(read_table(spark, d, "consolidada")), read_table(spark, d, "documentos"), ["marca", "color"])
+    return consolidate.publish_wide(consolidate.live(read_table(spark, d, "consolidada")), read_table(spark, d, "documentos"))
 
 
 @query(
@@ -166,6 +167,32 @@ def register_dedup(spark, d):
     return register.register(docs.where("estado < 4 AND hash_archivo IS NOT NULL"), docs.where("estado >= 4"), ["hash_archivo"]).select("hash_archivo")
 
 
+@query(
+    "SELECT user_id, string_agg(t, chr(10) ORDER BY y, x, t) AS texto FROM (SELECT user_id, CAST(event_id % 7 AS DOUBLE) AS y, value AS x, event_type AS t FROM events) GROUP BY user_id"
+)
+def blocks_read_in_order(spark, d):
+    blocks = read_table(spark, d, "events").groupBy("user_id").agg(F.collect_list(F.struct((F.col("event_id") % 7).cast("double").alias("y"), F.col("value").alias("x"), F.col("event_type").alias("texto"))).alias("b"))
+    return blocks.select("user_id", register.blocks_in_reading_order(F.col("b")).alias("texto"))
+
+
+@query(
+    "SELECT doc_id, " + sql_strip("list_aggregate(list_transform(string_split(text, chr(10) || chr(10)), lambda p, i: chr(10) || '--- Página ' || i || ' ---' || chr(10) || " + sql_strip("p") + " || chr(10)), 'string_agg', '')") + " AS texto FROM documents"
+)
+def native_pages(spark, d):
+    return read_table(spark, d, "documents").select("doc_id", register.native_text(F.split("text", "\n\n")).alias("texto"))
+
+
+@query("SELECT p_brand AS archivo, coalesce(avg(p_size), 0.0) AS ppi, CAST(CASE WHEN avg(p_size) >= 300 THEN 90 WHEN avg(p_size) >= 200 THEN 70 WHEN avg(p_size) > 0 THEN 50 ELSE 40 END AS INT) AS calidad FROM part GROUP BY p_brand")
+def image_resolutions(spark, d):
+    per = read_table(spark, d, "part").groupBy(F.col("p_brand").alias("archivo")).agg(F.collect_list(F.col("p_size").cast("double")).alias("v"))
+    return per.select("archivo", register.mean_resolution(F.col("v")).alias("ppi")).withColumn("calidad", register.quality(F.col("ppi")))
+
+
+@query("SELECT id, CASE WHEN tamano_bytes IS NULL THEN -1 WHEN copiado_remoto THEN 0 ELSE tamano_bytes END AS enviado FROM documentos")
+def upload_results(spark, d):
+    return read_table(spark, d, "documentos").select("id", register.upload_result(F.col("tamano_bytes"), F.col("copiado_remoto")).alias("enviado"))
+
+
 @query("SELECT doc_id, sha256(text) AS hash_archivo, md5(text) AS md5 FROM documents")
 def content_hashes(spark, d):
     return register.with_hashes(read_table(spark, d, "documents"), "text").select("doc_id", "hash_archivo", "md5")
@@ -320,6 +347,27 @@ def dictionaries(spark, d) -> Dictionaries:
     return Dictionaries(communes=lists["comuna"], makes=lists["marca"], colours=lists["color"])
 
 
+def listed_extraction(name: str, build: Callable[[Column, Dictionaries], Column]) -> None:
+    """A query that reads one field with the lists from every whole text."""
+
+    def run(spark, d):
+        own = dictionaries(spark, d)
+        return spread(read_table(spark, d, "textos")).select("id", build(F.col("texto_extraccion"), own).alias("valor"))
+
+    run.__name__ = f"extract_{name}"
+    query()(run)
+
+
+listed_extraction("localidad", lambda t, d: X.locality(t, d.communes))
+listed_extraction("direccion_comprador", lambda t, d: X.buyer_address(t, d.communes))
+listed_extraction("ciudad_comprador", lambda t, d: X.buyer_city(t, d.cities or d.communes))
+listed_extraction("color", lambda t, d: X.colour(t, d.colours))
+listed_extraction("tipo_carroceria", lambda t, d: X.bodywork(t, d.bodies))
+listed_extraction("marca", lambda t, d: X.make(t, d.makes))
+# the codes of the make that is read from the same text, by the table of prefixes
+listed_extraction("cit_por_marca", lambda t, d: let(X.make(t, [m for m, _ in REPORT_CODE_PREFIXES]), lambda m: X.report_code_by_make(t, m)))
+
+
 @query(
     "WITH c AS (SELECT DISTINCT upper(trim(comuna)) AS t FROM diccionario_comunas WHERE trim(comuna) <> ''), x AS (SELECT id, " + sql_first(r"(?:COMUNA\s*[:\-]?\s*)([A-Z\s]+)")
     + " AS v FROM textos) SELECT id, coalesce((SELECT arg_min(t, struct_pack(a := -length(t), b := t)) FROM c WHERE contains(x.v, c.t)), '') AS valor FROM x"
@@ -429,9 +477,13 @@ def html_reports(spark, d):
     return sinks.html_reports(consolidate.consolidate(read_table(spark, d, "campos")))
 
 
-@query(f"SELECT campo, count(*) AS total, count(*) FILTER ({sql_strip(V)} = '') AS vacios, round(100.0 * count(*) FILTER ({sql_strip(V)} = '') / count(*), 1) AS pct_vacios FROM campos GROUP BY campo")
+@query(
+    f"WITH few AS (SELECT campo, string_agg(t, '|' ORDER BY t) AS muestras FROM (SELECT *, row_number() OVER (PARTITION BY campo ORDER BY t) AS r FROM (SELECT DISTINCT campo, substr(coalesce(archivo_origen, ''), 1, 400) AS t FROM campos WHERE {sql_strip(V)} = '')) WHERE r <= 5 GROUP BY campo) "
+    f"SELECT campo, count(*) AS total, count(*) FILTER ({sql_strip(V)} = '') AS vacios, round(100.0 * count(*) FILTER ({sql_strip(V)} = '') / count(*), 1) AS pct_vacios, coalesce(any_value(muestras), '') AS muestras FROM campos LEFT JOIN few USING (campo) GROUP BY campo"
+)
 def fill_rate_audit(spark, d):
-    return audit.fill_rate(read_table(spark, d, "campos").withColumn("texto", F.coalesce("archivo_origen", F.lit("")))).drop("muestras")
+    rates = audit.fill_rate(read_table(spark, d, "campos").withColumn("texto", F.coalesce("archivo_origen", F.lit(""))))
+    return rates.withColumn("muestras", F.array_join("muestras", "|"))
 
 
 LOG = "SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS s, CASE WHEN event_type = 'error' THEN 'ERROR' WHEN value > 50 THEN 'WARNING' ELSE 'INFO' END AS nivel, CAST(ts AS DATE) AS fecha, event_type FROM events"
@@ -447,6 +499,11 @@ def log_levels_per_day(spark, d):
     return audit.level_per_day(audit.parse_log(event_log(spark, d))).withColumn("fecha", F.col("fecha").cast("string"))
 
 
+@query(f"SELECT CAST(fecha AS VARCHAR) AS fecha, count(*) FILTER (nivel = 'INFO') AS INFO, count(*) FILTER (nivel = 'WARNING') AS WARNING, count(*) FILTER (nivel = 'ERROR') AS ERROR FROM ({LOG}) WHERE fecha = DATE '2024-01-15' GROUP BY fecha")
+def log_levels_of_a_day(spark, d):
+    return audit.level_per_day(audit.parse_log(event_log(spark, d)), "2024-01-15").withColumn("fecha", F.col("fecha").cast("string"))
+
+
 @query(f"SELECT nivel, count(*) AS n FROM ({LOG}) WHERE date_diff('day', fecha, DATE '2024-02-01') <= 15 GROUP BY nivel")
 def log_retention(spark, d):
     return audit.retained(audit.parse_log(event_log(spark, d)), "2024-02-01", 15).groupBy("nivel").agg(F.count("*").alias("n"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from fojas.functions import extract as X
-from fojas.functions.fixed import AMOUNT_WORDS, COMMON_MAKES, VALID_COLOURS, VALID_DOCUMENT_TYPES, VALID_UNITS, VEHICLE_TYPES, YEAR_SIGNS
+from fojas.functions.fixed import AMOUNT_WORDS, BODY_KINDS, COMMON_MAKES, REPORT_CODE_PREFIXES, VALID_COLOURS, VALID_DOCUMENT_TYPES, VALID_UNITS, VEHICLE_TYPES, YEAR_SIGNS
 from fojas.functions.normalize import MONTH_NUMBERS, UNIT_FORMS
+from fojas.functions.reading import ACCENTED, PLAIN
 from fojas.functions.text import longest_first
 from fojas.schema import FIELDS, TARGET_FIELDS
 
@@ -307,11 +308,85 @@ def catalogued(top1: str, score: str, wide: str, year: int) -> dict[str, str]:
     }
 
 
+def terms(table: str, column: str, direction: str = "-length(t), t") -> str:
+    """Terms of a list, longest first."""
+    return f"(SELECT list(t ORDER BY {direction}) FROM (SELECT DISTINCT upper(trim({column})) AS t FROM {table} WHERE trim({column}) <> ''))"
+
+
+def contained(x: str, of: str = "ts") -> str:
+    return f"coalesce(list_filter({of}, lambda t: contains({x}, t))[1], '')"
+
+
+def with_terms(value: str, table: str, column: str, lines: str = ALL_LINES) -> str:
+    return f"SELECT id, {value} AS valor FROM (SELECT id, {UPPER} AS u, {lines} AS r, {terms(table, column)} AS ts FROM textos)"
+
+
+def localidad() -> str:
+    place = lambda p: f"regexp_replace({ext('u', p + r'[-:\s]*([A-Z\s]{3,30})')}, '(?s)[\\n\\r:.,].*$', '')"
+    return with_terms(first("[" + ", ".join(contained(place(p)) for p in X.TAX_OFFICE) + "]"), "diccionario_comunas", "comuna")
+
+
+def direccion_comprador() -> str:
+    raw = []
+    for label in X.ADDRESS_LABELS:
+        beside = ext("upper(x)", label + r"\s*[:\-]?\s*(.+)")
+        raw.append(f"WHEN {has('upper(x)', label)} THEN CASE WHEN {beside} <> '' THEN {beside} ELSE {strip('coalesce(r[i + 1], $$$$)')} END")
+    hit = f"list_filter(list_transform(r, lambda x, i: CASE {' '.join(raw)} END), lambda v: v IS NOT NULL)[1]"
+    clean = "regexp_replace(h, '(?i)^[^A-ZÁÉÍÓÚÑáéíóúñ0-9 ]+', '')"
+    # terms that aren't contained need no pattern of their own
+    term = r"list_filter(list_filter(ts, lambda t: contains(upper(v), t)), lambda t: regexp_matches(upper(v), '([^\pL\pN_\s]|[0-9])\s*' || regexp_escape(t)))[1]"
+    cut = strip(f"substr({strip('CASE WHEN instr(upper(v), t) > 0 THEN substr(v, 1, instr(upper(v), t) - 1) ELSE v END')}, 1, 50)")
+    rest = rf"regexp_extract({TEXT}, '(?s)^.*?(?:^|[^0-9])(?:\d{{1,3}}(?:\.\d{{3}}){{1,2}}|\d{{7,8}})-[\dkK]((?:[^0-9].*)?)$', 1)"
+    lines = f"list_filter(list_transform(string_split({ENDS.format(x=rest)}, chr(10)), lambda x: {strip('x')}), lambda x: x <> '')"
+    return (
+        f"SELECT id, CASE WHEN coalesce(h, '') = '' THEN '' ELSE {cut} END AS valor FROM (SELECT *, {term} AS t FROM (SELECT *, {clean} AS v FROM (SELECT id, ts, {hit} AS h FROM "
+        f"(SELECT id, {lines} AS r, {terms('diccionario_comunas', 'comuna')} AS ts FROM textos))))"
+    )
+
+
+def color() -> str:
+    """Greedily three, two or one word; state: next place, text so far; v: the place looked at."""
+    u = rf"trim(regexp_replace(regexp_replace({ext(UPPER, X.COLOUR)}, '[^\pL\pN_\s]', ' ', 'g'), '\s+', ' ', 'g'))"
+    has_n = lambda n: f"(b.v + {n} - 1 <= len(w) AND list_contains(ts, array_to_string(w[b.v : b.v + {n} - 1], ' ')))"
+    joined = lambda n: f"{{'v': b.v + {n}, 'o': CASE WHEN a.o = '' THEN '' ELSE a.o || ' ' END || array_to_string(w[b.v : b.v + {n} - 1], ' ')}}"
+    step = f"CASE WHEN b.v < a.v THEN a WHEN {has_n(3)} THEN {joined(3)} WHEN {has_n(2)} THEN {joined(2)} WHEN {has_n(1)} THEN {joined(1)} ELSE {{'v': b.v + 1, 'o': a.o}} END"
+    places = "list_prepend({'v': 1::BIGINT, 'o': ''}, list_transform(generate_series(1, greatest(len(w), 1)), lambda i: {'v': i::BIGINT, 'o': ''}))"
+    return f"SELECT id, list_reduce({places}, lambda a, b: {step}).o AS valor FROM (SELECT id, string_split({u}, ' ') AS w, {terms('diccionario_colores', 'color')} AS ts FROM textos)"
+
+
+def tipo_carroceria() -> str:
+    kinds = listed(longest_first(BODY_KINDS))
+    return over(ALL_LINES, first(f"list_concat([{contained(ext('u', X.BODYWORK), kinds)}], list_transform(r, lambda x: {contained('x', kinds)}))"))
+
+
+def marca(terms_: str) -> str:
+    """A labelled make of the list, else the longest that stands in the text as words; column m."""
+    plain = f"regexp_replace(translate({UPPER}, {q(ACCENTED)}, {q(PLAIN)}), '[^\\x00-\\x7F]', '', 'g')"
+    text = strip(rf"regexp_replace({plain}, '(?s)\bCOLOR\b.*$', '')")
+    label = X.MAKE_LABEL.replace("(?=", "(?:")
+    found = ext("x", label)
+    words = rf"array_to_string(regexp_split_to_array(regexp_replace({found}, '^[ ,.:]+|[ ,.:]+$', '', 'g'), ' +')[1:3], ' ')"
+    labelled = f"list_filter(list_transform(string_split(s, chr(10)), lambda x: {words}), lambda v: v <> '' AND list_contains(ts, v))"
+    run = "' ' || regexp_replace(s, '[^A-Z0-9_]+', ' ', 'g') || ' '"
+    spelled = "' ' || regexp_replace(t, '[^\\pL\\pN_]', ' ', 'g') || ' '"
+    word = f"coalesce(list_filter(ts, lambda t: contains({run}, {spelled}))[1], '')"
+    return f"(SELECT id, u, CASE WHEN len({labelled}) > 0 THEN ({labelled})[1] ELSE {word} END AS m FROM (SELECT id, {UPPER} AS u, {text} AS s, {terms_} AS ts FROM textos))"
+
+
+def cit_por_marca() -> str:
+    makes = listed(longest_first(m for m, _ in REPORT_CODE_PREFIXES))
+    prefixes = "[" + ", ".join(f"{{'m': {q(m)}, 'p': {q(p)}}}" for m, p in REPORT_CODE_PREFIXES) + "]"
+    codes = r"regexp_extract_all(' ' || replace(u, ' ', '  ') || ' ', '[^\pL\pN_]([A-Z0-9]{6,}-[A-Z0-9]{1,3})[^\pL\pN_]', 1)"
+    return f"SELECT id, coalesce(list_filter({codes}, lambda x: len(list_filter({prefixes}, lambda s: s.m = m AND starts_with(x, s.p))) > 0)[1], '') AS valor FROM {marca(makes)}"
+
+
 def pieces() -> dict[str, str]:
     return {
         "extract_modelo": modelo(), "extract_puertas": puertas(), "extract_unidad_pbv": unidad_pbv(), "extract_pbv": pbv(), "extract_combustible": combustible(),
         "extract_potencia_motor": over(FULL_LINES, power()), "extract_unidad_potencia": over(FULL_LINES, f"CASE WHEN {power()} <> '' THEN {ext('u', '(KCAL/S|BTU/S|CV|HP|KP|KW)')} ELSE '' END"),
         "extract_transmision": transmision(), "extract_monto_neto": f"SELECT id, coalesce(CAST({net()} AS VARCHAR), '') AS valor FROM {AMOUNTS}", "extract_monto_iva": f"SELECT id, coalesce(CAST({tax()} AS VARCHAR), '') AS valor FROM {AMOUNTS}",
         "extract_monto_total": monto_total(), "extract_num_contrato": num_contrato(), "extract_tipo_vehiculo": tipo_vehiculo(), "extract_fecha_documento": fecha_documento(),
-        "extract_nombre_proveedor": nombre_proveedor(), "extract_nombre_comprador": nombre_comprador(), "extract_n_motor": n_motor(), "extract_n_chasis": n_chasis(),
+        "extract_nombre_proveedor": nombre_proveedor(), "extract_nombre_comprador": nombre_comprador(), "extract_n_motor": n_motor(), "extract_n_chasis": n_chasis(), "extract_localidad": localidad(), "extract_direccion_comprador": direccion_comprador(), "extract_color": color(), "extract_tipo_carroceria": tipo_carroceria(),
+        "extract_ciudad_comprador": with_terms(contained(ext("u", r"(?:CIUDAD\s*[:\-]?\s*)([A-Z\s]+)")), "diccionario_comunas", "comuna"),
+        "extract_marca": f"SELECT id, m AS valor FROM {marca(terms('diccionario_marcas', 'marca'))}", "extract_cit_por_marca": cit_por_marca(),
     }

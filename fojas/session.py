@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +20,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -25,11 +28,20 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use spark.checkpoint.dir of the session; only where it is unset (one-machine runs) a temporary folder."""
+    """Use spark.checkpoint.dir of the session. Where it is unset, one-machine runs take a temporary folder, removed at the end; a cluster must name a shared one.
+
+    Spark removes a checkpoint once nothing refers to it if spark.cleaner.referenceTracking.cleanCheckpoints is set.
+    """
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
-    sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="fojas-checkpoint-"))
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="fojas-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    sc.setCheckpointDir(folder)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -38,8 +50,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """The rows of a plan that already shuffles, over as many partitions as costly work on them can use: they are few and light, the work on each is not."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """df over at least as many partitions as there are cores, for costly work on a few small files; larger inputs stay as they are."""
+    """df (a scan or a checkpoint, as counting its partitions would run a shuffle) over at least as many partitions as there are cores, for costly work on a few small files; larger inputs stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 

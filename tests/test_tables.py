@@ -114,7 +114,7 @@ def test_upsert_and_overrides(spark):
 def test_neighbours(spark):
     ids = [1, 2, 9, 40, 41, 100]
     docs = spark.createDataFrame([(i,) for i in ids], "id long")
-    got = {r["id"]: (r["anterior"], r["siguiente"]) for r in consolidate.neighbours(docs, bucket=10).collect()}
+    got = {r["id"]: (r["anterior"], r["siguiente"]) for r in consolidate.neighbours(docs).collect()}
     assert got == {x: (ids[max(i - 1, 0)], ids[min(i + 1, len(ids) - 1)]) for i, x in enumerate(ids)}
 
 
