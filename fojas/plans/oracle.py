@@ -5,9 +5,11 @@ from __future__ import annotations
 from fojas.functions import extract as X
 from fojas.functions.fixed import AMOUNT_WORDS, BODY_KINDS, COMMON_MAKES, REPORT_CODE_PREFIXES, VALID_COLOURS, VALID_DOCUMENT_TYPES, VALID_UNITS, VEHICLE_TYPES, YEAR_SIGNS
 from fojas.functions.normalize import MONTH_NUMBERS, UNIT_FORMS
-from fojas.functions.reading import ACCENTED, PLAIN
+from fojas.functions.reading import ACCENTED, DIGITS_READ_AS_LETTERS, LETTERS_READ_AS_DIGITS, MONTHS, NUMBER_WORDS, PLAIN, THEIR_DIGITS, THEIR_LETTERS
 from fojas.functions.text import longest_first
-from fojas.schema import FIELDS, TARGET_FIELDS
+from fojas.operators.eav import FOUND_FIELDS
+from fojas.operators.units import FACTORS, RANGE, SPELLINGS, UNIT_FIELD
+from fojas.schema import FIELD_KINDS, FIELDS, TARGET_FIELDS
 
 #: Before and after a word, as far as letters, digits and underscores go.
 EDGE_BEFORE, EDGE_AFTER = r"(?:^|[^\pL\pN_])", r"(?:[^\pL\pN_]|$)"
@@ -380,13 +382,124 @@ def cit_por_marca() -> str:
     return f"SELECT id, coalesce(list_filter({codes}, lambda x: len(list_filter({prefixes}, lambda s: s.m = m AND starts_with(x, s.p))) > 0)[1], '') AS valor FROM {marca(makes)}"
 
 
+# readings of numbers and dates
+def plain_upper(x: str) -> str:
+    return f"translate(upper({strip(x)}), {q(ACCENTED)}, {q(PLAIN)})"
+
+
+def canonical(x: str) -> str:
+    snake = rf"regexp_replace(lower(regexp_replace({strip(x)}, '(\p{{Ll}})(\p{{Lu}})', '\1_\2', 'g')), '[\s\-_.]+', '_', 'g')"
+    return f"CASE WHEN {snake} IN ('año', 'ano', 'anio') THEN 'anio' ELSE translate({snake}, {q(ACCENTED)}, {q(PLAIN)}) END"
+
+
+def digits(x: str) -> str:
+    return f"translate({x}, {q(LETTERS_READ_AS_DIGITS)}, {q(THEIR_DIGITS)})"
+
+
+def integer(x: str) -> str:
+    """Whole number of a reading, as text; u is its tidied form."""
+    shaped = f"regexp_full_match({x}, '[0-9OQDILSBZG|][0-9OQDILSBZG|., ]*') AND regexp_matches({x}, '[0-9]')"
+    number = f"regexp_replace({digits(f"regexp_replace({x}, '[.,][0-9OQDILSBZG|]{{1,2}}$', '')")}, '[^0-9]', '', 'g')"
+    words = "MAP {" + ", ".join(f"{q(k)}: {v}" for k, v in NUMBER_WORDS.items()) + "}"
+    return f"CASE WHEN {shaped} THEN CAST(try_cast(nullif({number}, '') AS HUGEINT) AS VARCHAR) ELSE CAST({words}[{x}] AS VARCHAR) END"
+
+
+def integer_form(x: str) -> str:
+    u = rf"regexp_replace({plain_upper(x)}, '^(?:ANIO|ANO|CLP|MONTO|NETO|IVA|TOTAL|ASIENTOS|PUERTAS|CILINDRADA)?[:\s]*\$?\s*', '')"
+    u = rf"regexp_replace({u}, '\s*(?:CC|C\.C\.|CM3|CMS|ASIENTOS?|PUERTAS?|PESOS)?[.\s]*$', '')"
+    return f"regexp_replace({u}, '[.,]?-$', '')"
+
+
+def date(x: str) -> str:
+    """Date of a reading, as text; x is its tidied form."""
+    g = "[0-9OQDILSBZG|]"
+    ymd = f"({g}{{4}})[-/. ]({g}{{1,2}})[-/. ]({g}{{1,2}})"
+    dmy = f"({g}{{1,2}})[-/. ]+(?:DE[L]? )?({g}{{1,2}}|[A-Z0-9]{{3,10}})[-/. ]+(?:DE[L]? )?({g}{{4}}|{g}{{2}})"
+    part = lambda p, k: f"regexp_extract({x}, {q('^' + p + '$')}, {k})"
+    made = lambda y, m, d: f"strftime(try_cast(CASE WHEN length({y}) = 2 THEN '20' || {y} ELSE {y} END || '-' || {m} || '-' || {d} AS DATE), '%Y-%m-%d')"
+    months = "MAP {" + ", ".join(f"{q(k)}: {q(str(v))}" for k, v in MONTHS.items()) + "}"
+    middle = part(dmy, 2)
+    month = f"CASE WHEN length({middle}) <= 2 THEN {digits(middle)} ELSE {months}[substr(translate({middle}, {q(DIGITS_READ_AS_LETTERS)}, {q(THEIR_LETTERS)}), 1, 3)] END"
+    first_ = made(*[digits(part(ymd, k)) for k in (1, 2, 3)])
+    last = made(digits(part(dmy, 3)), f"({month})", digits(part(dmy, 1)))
+    return f"CASE WHEN NOT regexp_matches({x}, '[0-9]') THEN NULL WHEN regexp_full_match({x}, {q(ymd)}) THEN {first_} WHEN regexp_full_match({x}, {q(dmy)}) AND ({month}) IS NOT NULL THEN {last} END"
+
+
+def date_tidied(x: str) -> str:
+    return rf"regexp_replace({plain_upper(x)}, '^(?:FECHA)?[:\s]*', '')"
+
+
+def decimal(x: str) -> str:
+    t = f"regexp_replace({x}, '[^0-9.,]', '', 'g')"
+    return rf"CAST(try_cast(CASE WHEN regexp_full_match({t}, '\d{{1,3}}(?:[.,]\d{{3}})+') THEN regexp_replace({t}, '[.,]', '', 'g') ELSE replace({t}, ',', '.') END AS DOUBLE) AS VARCHAR)"
+
+
+def best_cells(fields: list[str], others: str) -> str:
+    """(documento_id, campo, v): of the live readings of each field the form read most often, then of the higher score, then the smaller; v in its field's written form. others: text for fields that are no number or date."""
+    ints, dates, doubles = [[f for f in fields if FIELD_KINDS.get(f) == kind] for kind in ("int", "date", "double")]
+    inside = lambda names: f"campo IN ({', '.join(map(q, names or ['']))})"
+    value = f"CASE WHEN {inside(ints)} THEN {integer('i')} WHEN {inside(dates)} THEN {date('d')} WHEN {inside(doubles)} THEN {decimal('valor')} ELSE {others} END"
+    return (
+        f"SELECT documento_id, campo, arg_min(v, struct_pack(n := -n, s := -s, v := v)) AS v FROM (SELECT documento_id, campo, v, count(*) AS n, max(s) AS s FROM (SELECT documento_id, campo, s, {value} AS v FROM "
+        f"(SELECT documento_id, {canonical('campo')} AS campo, valor, coalesce(score, 0.0) AS s, {integer_form('valor')} AS i, {date_tidied('valor')} AS d FROM campos WHERE deleted_at IS NULL AND documento_id <> 1) WHERE {inside(fields)}) "
+        "WHERE v IS NOT NULL GROUP BY ALL) GROUP BY documento_id, campo"
+    )
+
+
+def wide_table() -> str:
+    kinds = {"int": "BIGINT", "double": "DOUBLE", "date": "DATE"}
+    cells = best_cells(FIELDS, f"nullif({strip('valor')}, '')")
+    columns = ", ".join(f"try_cast(max(CASE WHEN campo = {q(f)} THEN v END) AS {kinds.get(FIELD_KINDS.get(f), 'VARCHAR')}) AS {f}" for f in FIELDS)
+    return f"SELECT documento_id, {columns} FROM (SELECT DISTINCT documento_id FROM campos WHERE documento_id <> 1) LEFT JOIN ({cells}) USING (documento_id) GROUP BY documento_id"
+
+
+# quantities
+def split_number(measure: str, u: str) -> tuple[str, str]:
+    """(number as written, the unit after it) of a tidied value. A pound word after the number is no part of it."""
+    pattern = r"^([0-9OIL|][0-9OQIL|., ]*?)((?:L8S?$|LBS?(?:[^\pL\pN_]|$)|LIBRA).*|[^0-9OQIL|., ].*|)$"
+    num = rf"regexp_replace(regexp_replace(translate(regexp_extract({u}, {q(pattern)}, 1), 'OQIL|', '00111'), '[., ]+$', ''), ' +', '.', 'g')"
+    return f"CASE WHEN regexp_matches({num}, '[0-9]') THEN {num} END", unit(measure, f"regexp_extract({u}, {q(pattern)}, 2)")
+
+
+def unit(measure: str, x: str) -> str:
+    letters = rf"translate(regexp_replace({plain_upper(x)}, '[\s.]+', '', 'g'), '013568', 'OIESGB')"
+    return "MAP {" + ", ".join(f"{q(k)}: {q(v)}" for k, v in SPELLINGS[measure].items()) + f"}}[{letters}]"
+
+
+def base(measure: str) -> str:
+    low, high = RANGE[measure]
+    factor = "MAP {" + ", ".join(f"{q(k)}: {v!r}::DOUBLE" for k, v in FACTORS[measure].items()) + "}[unit]"
+    # all separators but the last part thousands
+    decimal_ = rf"try_cast(replace(regexp_replace(regexp_extract(num, '^(.*?)([.,]?[^.,]*)$', 1), '[.,]', '', 'g') || regexp_extract(num, '^(.*?)([.,]?[^.,]*)$', 2), ',', '.') AS DOUBLE) * {factor}"
+    grouped = rf"CASE WHEN regexp_full_match(num, '\d{{1,3}}(?:[.,]\d{{3}})+') THEN try_cast(regexp_replace(num, '[.,]', '', 'g') AS DOUBLE) * {factor} END"
+    return f"CASE WHEN {grouped} BETWEEN {low} AND {high} THEN {grouped} WHEN {decimal_} BETWEEN {low} AND {high} THEN {decimal_} END"
+
+
+def stated_units() -> str:
+    per, said = [], []
+    for m, u in UNIT_FIELD.items():
+        num, own = split_number(m, "u")
+        per.append(f"SELECT documento_id, {q(m)} AS campo, {num} AS num, {own} AS own FROM (SELECT documento_id, {plain_upper('valor')} AS u FROM named WHERE campo = {q(m)})")
+        said.append(f"SELECT documento_id, {q(m)} AS campo, {unit(m, 'valor')} AS unit FROM named WHERE campo = {q(u)}")
+    both = "CASE campo WHEN 'pbv' THEN " + base("pbv") + " ELSE " + base("potencia_motor") + " END"
+    return (
+        f"WITH named AS (SELECT documento_id, {canonical('campo')} AS campo, valor FROM campos WHERE deleted_at IS NULL AND documento_id <> 1 AND valor IS NOT NULL), "
+        f"reads AS (SELECT documento_id, campo, num, own, count(*) AS n FROM ({' UNION ALL '.join(per)}) WHERE num IS NOT NULL GROUP BY ALL), "
+        f"said AS (SELECT documento_id, campo, arg_max(unit, struct_pack(n := n, u := unit)) AS said FROM (SELECT documento_id, campo, unit, count(*) AS n FROM ({' UNION ALL '.join(said)}) WHERE unit IS NOT NULL GROUP BY ALL) GROUP BY ALL), "
+        f"based AS (SELECT *, {both} AS base FROM (SELECT reads.*, coalesce(own, said) AS unit FROM reads LEFT JOIN said USING (documento_id, campo))), "
+        "voted AS (SELECT documento_id, campo, unit, round(base) AS rounded, sum(n) AS n, max(base) AS base FROM based GROUP BY ALL), "
+        "one AS (SELECT documento_id, campo, arg_max(base, struct_pack(b := base IS NOT NULL, u := unit IS NOT NULL, n := n, v := base)) AS base FROM voted WHERE base IS NOT NULL AND unit IS NOT NULL GROUP BY ALL) "
+        "SELECT documento_id, campo, CAST(round(base) AS BIGINT) AS valor FROM one"
+    )
+
+
 def pieces() -> dict[str, str]:
     return {
         "extract_modelo": modelo(), "extract_puertas": puertas(), "extract_unidad_pbv": unidad_pbv(), "extract_pbv": pbv(), "extract_combustible": combustible(),
         "extract_potencia_motor": over(FULL_LINES, power()), "extract_unidad_potencia": over(FULL_LINES, f"CASE WHEN {power()} <> '' THEN {ext('u', '(KCAL/S|BTU/S|CV|HP|KP|KW)')} ELSE '' END"),
         "extract_transmision": transmision(), "extract_monto_neto": f"SELECT id, coalesce(CAST({net()} AS VARCHAR), '') AS valor FROM {AMOUNTS}", "extract_monto_iva": f"SELECT id, coalesce(CAST({tax()} AS VARCHAR), '') AS valor FROM {AMOUNTS}",
         "extract_monto_total": monto_total(), "extract_num_contrato": num_contrato(), "extract_tipo_vehiculo": tipo_vehiculo(), "extract_fecha_documento": fecha_documento(),
-        "extract_nombre_proveedor": nombre_proveedor(), "extract_nombre_comprador": nombre_comprador(), "extract_n_motor": n_motor(), "extract_n_chasis": n_chasis(), "extract_localidad": localidad(), "extract_direccion_comprador": direccion_comprador(), "extract_color": color(), "extract_tipo_carroceria": tipo_carroceria(),
+        "extract_nombre_proveedor": nombre_proveedor(), "extract_nombre_comprador": nombre_comprador(), "extract_n_motor": n_motor(), "extract_n_chasis": n_chasis(), "p4_found": f"SELECT documento_id, campo, v AS valor FROM ({best_cells(FOUND_FIELDS, 'NULL')})", "p4_wide": wide_table(), "p5_found": stated_units(), "extract_localidad": localidad(), "extract_direccion_comprador": direccion_comprador(), "extract_color": color(), "extract_tipo_carroceria": tipo_carroceria(),
         "extract_ciudad_comprador": with_terms(contained(ext("u", r"(?:CIUDAD\s*[:\-]?\s*)([A-Z\s]+)")), "diccionario_comunas", "comuna"),
         "extract_marca": f"SELECT id, m AS valor FROM {marca(terms('diccionario_marcas', 'marca'))}", "extract_cit_por_marca": cit_por_marca(),
     }
