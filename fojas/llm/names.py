@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from fojas.functions.reading import ACCENTED, PLAIN, canonical_field
 from fojas.llm.misread import skeleton_text
-from fojas.session import cut, read_table, spread
+from fojas.session import cut, read_table, shuffled, spread
 
 # Familiar forms of Spanish given names.
 NICKNAMES = {
@@ -394,7 +394,7 @@ def twins(words: DataFrame, hasher: MinHasher, least: float = 0.6) -> DataFrame:
                 out += [(*forms, k * 4_294_967_296 + h) for k, h in enumerate(hasher.keys(qgrams([w])))]
             yield pd.DataFrame(out, columns=["w", "s", "wo", "so", "h"])
 
-    buckets = cut(spread(words).mapInPandas(banded, "w string, s string, wo string, so string, h long"))
+    buckets = cut(shuffled(words).mapInPandas(banded, "w string, s string, wo string, so string, h long"))
     met = buckets.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
     live = buckets.join(met, "h", "left_semi")
     # as many edits as word_similarity allows; a swap of neighbours is two of these edits, and leaves the letters the same
@@ -409,7 +409,7 @@ def twins(words: DataFrame, hasher: MinHasher, least: float = 0.6) -> DataFrame:
         for b in batches:
             yield b[[word_similarity(x, y) >= least for x, y in zip(b["w"], b["t"])]]
 
-    close = cut(spread(near).mapInPandas(similar, "w string, t string"))
+    close = cut(shuffled(near).mapInPandas(similar, "w string, t string"))
     return cut(close.union(close.select(F.col("t").alias("w"), F.col("w").alias("t"))).union(words.select("w", F.col("w").alias("t"))))
 
 
@@ -455,7 +455,7 @@ def link_names(names: DataFrame, accept: float = 0.8) -> DataFrame:
             s = np.array([parser.similarity(p, q) for p, q in zip(b["p"], b["q"])])
             yield b.assign(s=s)[s >= accept][["a", "b", "s"]]
 
-    edges = cut(spread(pairs.select("a", "b", "p", "q")).mapInPandas(verify, "a string, b string, s double"))
+    edges = cut(shuffled(pairs.select("a", "b", "p", "q")).mapInPandas(verify, "a string, b string, s double"))
     star = stars(nodes, edges)
     named = star.join(nodes.select(F.col("key").alias("center"), F.col("name").alias("parte")), "center")
     return keyed.join(named, "key").select("nombre", "parte")
