@@ -18,7 +18,7 @@ from fojas.operators import agreement, audit, consolidate, eav, register, state,
 from fojas.operators import dictionary as terms
 from fojas.operators.extraction import Dictionaries, extract_rows, extract_wide
 from fojas.plans import oracle
-from fojas.plans.pipeline import below_minimum, score_fields
+from fojas.plans.pipeline import below_minimum, publish, run_batch, score_fields
 from fojas.schema import FIELDS, TARGET_FIELDS
 from fojas.session import read_table, spread
 from fojas.sources import sinks
@@ -89,6 +89,30 @@ def publish_with_documents(spark, d):
     return consolidate.publish_wide(consolidate.live(read_table(spark, d, "consolidada")), read_table(spark, d, "documentos"))
 
 
+PUBLISHED = "estado = 5 AND deleted_at IS NULL AND NOT coalesce(copiado_remoto, false)"
+
+
+@query(
+    "SELECT d.id AS documento_id, d.nombre_archivo, count(DISTINCT c.campo) AS campos FROM documentos d JOIN consolidada c ON c.documento_id = d.id AND c.deleted_at IS NULL AND c.valor IS NOT NULL "
+    f"AND c.campo IN ({', '.join(repr(f) for f in FIELDS)}) WHERE d.estado = 5 AND d.deleted_at IS NULL AND NOT coalesce(d.copiado_remoto, false) GROUP BY ALL"
+)
+def publish_dry_run(spark, d):
+    wide, _ = publish(read_table(spark, d, "documentos"), read_table(spark, d, "consolidada"))
+    filled = sum((F.col(f).isNotNull().cast("long") for f in FIELDS), F.lit(0).cast("long"))
+    return wide.select("documento_id", "nombre_archivo", filled.alias("campos"))
+
+
+@query(f"SELECT id, CASE WHEN {PUBLISHED} AND id IN (SELECT documento_id FROM consolidada WHERE deleted_at IS NULL AND campo IN ({', '.join(repr(f) for f in FIELDS)})) THEN 6 ELSE estado END AS estado FROM documentos")
+def publish_states(spark, d):
+    return publish(read_table(spark, d, "documentos"), read_table(spark, d, "consolidada"))[1].select("id", "estado")
+
+
+@query()
+def pipeline_wide(spark, d):
+    """Texts to fields, scores, best values and wide rows in one plan."""
+    return run_batch(read_table(spark, d, "textos"), YEAR, dictionaries(spark, d))["wide"]
+
+
 @query(
     "SELECT id, 'numero_paginas' AS campo, CAST(numero_paginas AS VARCHAR) AS valor FROM documentos WHERE numero_paginas IS NOT NULL UNION ALL SELECT id, 'tipo_documento', tipo_documento FROM documentos WHERE tipo_documento <> '' "
     "UNION ALL SELECT id, 'calidad_estimativa', CAST(calidad_estimativa AS VARCHAR) FROM documentos WHERE calidad_estimativa IS NOT NULL UNION ALL SELECT id, 'archivo_padre', archivo_padre FROM documentos WHERE archivo_padre <> ''"
