@@ -136,7 +136,7 @@ def locality(c: Column, communes: list[str]) -> Column:
 
     def of(u: Column) -> Column:
         near = F.array(*[F.regexp_replace(found(u, v + r"[-:\s]*([A-Z\s]{3,30})"), r"(?s)[\n\r:.,].*$", "") for v in TAX_OFFICE])
-        return first_filled(F.transform(near, lambda x: first_contained(x, terms)))
+        return first_filled(F.transform(F.filter(near, lambda x: x != ""), lambda x: first_contained(x, terms)))
 
     return let(upper(c), of)
 
@@ -278,7 +278,8 @@ def buyer_phone(c: Column) -> Column:
 
 
 def labelled_place(c: Column, label: str, places: list[str]) -> Column:
-    return let(upper(c), lambda u: first_contained(found(u, rf"(?:{label}\s*[:\-]?\s*)([A-Z\s]+)"), longest_first(places)))
+    place = found(upper(c), rf"(?:{label}\s*[:\-]?\s*)([A-Z\s]+)")
+    return let(place, lambda p: F.when(p == "", "").otherwise(first_contained(p, longest_first(places))))
 
 
 def buyer_commune(c: Column, communes: list[str]) -> Column:
@@ -521,68 +522,71 @@ def plain_amount(x: Column) -> Column:
     return F.regexp_replace(x, "[^0-9]", "").try_cast("long")
 
 
-def net_amount(c: Column) -> Column:
+def net_of(rows: Column) -> Column:
     """First amount above 100 on a net label's line or the three below; labels with NETO before the others. Null if none."""
+    amounts_ = F.transform(rows, lambda x: let(F.translate(F.regexp_extract(x, r"([\d\.,]{3,})", 1), ".,", "").try_cast("long"), lambda n: F.when(n > 100, n)))
 
-    def of(rows: Column) -> Column:
-        amounts = F.transform(rows, lambda x: let(F.translate(F.regexp_extract(x, r"([\d\.,]{3,})", 1), ".,", "").try_cast("long"), lambda n: F.when(n > 100, n)))
+    def pick(a: Column) -> Column:
+        def by(label: str) -> Column:
+            near = F.flatten(F.transform(rows, lambda x, i: F.when(has(x, label), F.slice(a, i + 1, 4)).otherwise(F.array().cast("array<bigint>"))))
+            return F.get(F.filter(near, lambda n: n.isNotNull()), F.lit(0))
 
-        def pick(amounts: Column) -> Column:
-            def by(label: str) -> Column:
-                near = F.flatten(F.transform(rows, lambda x, i: F.when(has(x, label), F.slice(amounts, i + 1, 4)).otherwise(F.array().cast("array<bigint>"))))
-                return F.get(F.filter(near, lambda n: n.isNotNull()), F.lit(0))
+        return F.coalesce(by(NET_FIRST), by(NET_SECOND))
 
-            return F.coalesce(by(NET_FIRST), by(NET_SECOND))
+    return let(amounts_, pick)
 
-        return let(amounts, pick)
 
-    return let(full_lines(upper(c)), of)
+def net_amount(c: Column) -> Column:
+    return let(full_lines(upper(c)), net_of)
 
 
-def tax_amount(c: Column) -> Column:
+def tax_of(rows: Column) -> Column:
     """First amount of at least 1,000 other than 1900 after a tax label, or on the three lines below it. Null if none."""
 
     def good(x: Column) -> Column:
         return let(plain_amount(F.regexp_extract(x, r"([\d\.,]{4,})", 1)), lambda n: F.when((n >= 1000) & (n != 1900), n))
 
-    def of(rows: Column) -> Column:
-        below = F.transform(rows, good)
+    def pick(below: Column) -> Column:
+        # every label has V and A, so other lines need no pattern
+        named = F.filter(F.transform(rows, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: s["x"].rlike(r"V\.?A"))
 
-        def pick(below: Column) -> Column:
-            # every label has V and A, so other lines need no pattern
-            named = F.filter(F.transform(rows, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: s["x"].rlike(r"V\.?A"))
+        def beside(s: Column) -> Column:
+            return F.flatten(F.array(*[F.when(has(s["x"], label), F.concat(F.array(good(F.regexp_replace(s["x"], rx(f"(?s)^.*?(?:{label})"), ""))), F.slice(below, s["i"] + 2, 3))).otherwise(F.array().cast("array<bigint>")) for label in TAX_LABELS]))
 
-            def beside(s: Column) -> Column:
-                return F.flatten(F.array(*[F.when(has(s["x"], label), F.concat(F.array(good(F.regexp_replace(s["x"], rx(f"(?s)^.*?(?:{label})"), ""))), F.slice(below, s["i"] + 2, 3))).otherwise(F.array().cast("array<bigint>")) for label in TAX_LABELS]))
+        return F.get(F.filter(F.flatten(F.transform(named, beside)), lambda n: n.isNotNull()), F.lit(0))
 
-            per = F.flatten(F.transform(named, beside))
-            return F.get(F.filter(per, lambda n: n.isNotNull()), F.lit(0))
+    return let(F.transform(rows, good), pick)
 
-        return let(below, pick)
 
-    return let(full_lines(upper(c)), of)
+def tax_amount(c: Column) -> Column:
+    return let(full_lines(upper(c)), tax_of)
 
 
-def total_amount(c: Column) -> Column:
-    """Largest dotted amount around the last total label that exceeds net and tax, else one within 100 of their sum, else the amount in words. Null if none."""
+def amounts(c: Column) -> Column:
+    """struct(neto, iva, total), nulls where there is none. total: largest dotted amount around the last total label that exceeds net and tax, else one within 100 of their sum, else the amount in words."""
 
     def of(rows: Column) -> Column:
-        net, tax = F.coalesce(net_amount(c), F.lit(0)), F.coalesce(tax_amount(c), F.lit(0))
         last = F.array_max(F.transform(rows, lambda x, i: F.when(has(x, TOTAL_LABEL), i)))
 
         def pick(s: Column) -> Column:
+            net, tax = F.coalesce(s["net"], F.lit(0)), F.coalesce(s["tax"], F.lit(0))
             near = F.transform(F.slice(rows, F.greatest(s["k"] - 2, F.lit(1)), F.least(s["k"] + 3, F.lit(6)) + F.lit(1)), lambda x: F.translate(F.regexp_extract(x, r"(\d{1,3}(?:\.\d{3})+)", 1), ".", "").try_cast("long"))
-            most = F.greatest(s["net"], s["tax"])
-            around = F.get(F.filter(near, lambda n: F.abs(n - (s["net"] + s["tax"])) <= 100), F.lit(0))
+            most = F.greatest(net, tax)
+            around = F.get(F.filter(near, lambda n: F.abs(n - (net + tax)) <= 100), F.lit(0))
             # words are read only where no amount was found
             spoken = F.filter(F.transform(rows, lambda x, i: F.when(F.contains(x, F.lit("SON")), number_words(F.concat_ws(" ", x, F.get(rows, i + 1), F.get(rows, i + 2))))), lambda n: n > most)
-            return F.coalesce(F.when(s["k"].isNotNull(), F.coalesce(F.array_max(F.filter(near, lambda n: n > most)), around)), F.get(spoken, F.lit(0)))
+            total = F.coalesce(F.when(s["k"].isNotNull(), F.coalesce(F.array_max(F.filter(near, lambda n: n > most)), around)), F.get(spoken, F.lit(0)))
+            return F.struct(s["net"].alias("neto"), s["tax"].alias("iva"), total.alias("total"))
 
-        return let(F.struct(net.alias("net"), tax.alias("tax"), last.alias("k")), pick)
+        return let(F.struct(net_of(rows).alias("net"), tax_of(rows).alias("tax"), last.alias("k")), pick)
 
     return let(full_lines(upper(c)), of)
 
 
+def total_amount(c: Column) -> Column:
+    return amounts(c)["total"]
+
+
 def amount_text(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fojas.functions import extract as X
 from fojas.functions.fixed import BODY_KINDS, COMMON_COLOURS, COMMON_MAKES
 from fojas.functions.fuzzy import fuzzy_fields
+from fojas.functions.reading import let
 from fojas.functions.text import clean_value, first_filled, footer, header_and_body, longest_first, normalize_text
 from fojas.operators.eav import wide_to_eav
 from fojas.schema import FIELDS
@@ -42,8 +43,8 @@ EXTRACTORS: dict[str, tuple[str, object, bool]] = {
     "pbv": ("cuerpo", lambda t, d: X.gross_weight(t), False), "combustible": ("cuerpo", lambda t, d: X.fuel(t), True), "unidad_carga": ("cuerpo", lambda t, d: X.load_unit(t), False),
     "carga": ("cuerpo", lambda t, d: X.load(t), True), "asientos": ("cuerpo", lambda t, d: X.seats(t), True), "puertas": ("cuerpo", lambda t, d: X.doors(t), True),
     "unidad_potencia": ("cuerpo", lambda t, d: X.power_unit(t), False), "potencia_motor": ("cuerpo", lambda t, d: X.power(t), False), "traccion": ("cuerpo", lambda t, d: X.drive(t), False),
-    "cilindrada": ("cuerpo", lambda t, d: X.displacement(t), False), "monto_neto": ("pie", lambda t, d: X.amount_text(X.net_amount(t)), True),
-    "monto_iva": ("pie", lambda t, d: X.amount_text(X.tax_amount(t)), True), "monto_total": ("pie", lambda t, d: X.amount_text(X.total_amount(t)), True),
+    "cilindrada": ("cuerpo", lambda t, d: X.displacement(t), False), "monto_neto": ("montos", lambda t, d: X.amount_text(t["neto"]), True),
+    "monto_iva": ("montos", lambda t, d: X.amount_text(t["iva"]), True), "monto_total": ("montos", lambda t, d: X.amount_text(t["total"]), True),
     "num_contrato": ("texto", lambda t, d: X.contract_number(t), True),
 }
 #: Fields completed by the similarity pass.
@@ -59,6 +60,9 @@ def extract_wide(texts: DataFrame, dictionaries: Dictionaries | None = None, col
     fields = fields or FIELDS
     parts = header_and_body(F.col(column))
     framed = spread(texts).withColumn("_p", parts).withColumns({"_cabecera": F.col("_p.cabecera"), "_cuerpo": F.col("_p.cuerpo"), "_pie": footer(F.col(column)), "_texto": F.coalesce(F.col(column), F.lit(""))})
+    if any(EXTRACTORS[f][0] == "montos" for f in fields if f in EXTRACTORS):
+        # the total needs net and tax, so the three are read together
+        framed = framed.withColumn("_montos", X.amounts(F.col("_pie")))
 
     def value(name: str) -> Column:
         segment, build, cleaned = EXTRACTORS[name]
@@ -74,7 +78,7 @@ def extract_wide(texts: DataFrame, dictionaries: Dictionaries | None = None, col
         out = out.withColumn("_f", fuzzy_fields(normalize_text(F.substring("_texto", 1, 415)), X.make_candidates(body), X.axle_candidates(body), words, makes, kinds))
         out = out.withColumn("_marca", X.make(body, d.makes, F.col("_f.marca")))
         late = {
-            "tipo_doc": F.col("_f.tipo_doc"), "marca": F.col("_marca"), "ejes": F.col("_f.ejes"), "cit": X.report_code(body, F.col("_marca"), d.prefixes),
+            "tipo_doc": F.col("_f.tipo_doc"), "marca": F.col("_marca"), "ejes": F.col("_f.ejes"), "cit": let(F.col("_marca"), lambda m: X.report_code(body, m, d.prefixes)),
             "tipo_carroceria": first_filled(F.array(X.bodywork(body, d.bodies), F.col("_f.tipo_carroceria"))), "transmision": first_filled(F.array(X.gearbox(body), F.col("_f.transmision"))),
         }
         out = out.withColumns({k: v for k, v in late.items() if k in fields})
