@@ -6,6 +6,9 @@ bound variable, so that Catalyst need not generate code for every pattern of eve
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -440,7 +443,8 @@ def report_code(c: Column, make_: Column, prefixes: list[tuple[str, str]] | None
 
 def fuel(c: Column) -> Column:
     def of(rows: Column) -> Column:
-        labelled = F.transform(with_next(rows), lambda x: found(x, rf"(?:TIPO\s+DE\s+COMBUSTIBLE|TIPO\s+COMBUSTIBLE|COMBUSTIBLE)[\s:\-]*({FUELS})"))
+        hopeful = F.filter(with_next(rows), lambda x: F.contains(x, F.lit("COMBUSTIBLE")))
+        labelled = F.transform(hopeful, lambda x: found(x, rf"(?:TIPO\s+DE\s+COMBUSTIBLE|TIPO\s+COMBUSTIBLE|COMBUSTIBLE)[\s:\-]*({FUELS})"))
         return first_filled(F.concat(labelled, F.transform(rows, lambda x: first_contained(x, FUEL_WORDS))))
 
     return let(lines_of(upper(c)), of)
@@ -527,11 +531,13 @@ def net_of(rows: Column) -> Column:
     amounts_ = F.transform(rows, lambda x: let(F.translate(F.regexp_extract(x, r"([\d\.,]{3,})", 1), ".,", "").try_cast("long"), lambda n: F.when(n > 100, n)))
 
     def pick(a: Column) -> Column:
-        def by(label: str) -> Column:
-            near = F.flatten(F.transform(rows, lambda x, i: F.when(has(x, label), F.slice(a, i + 1, 4)).otherwise(F.array().cast("array<bigint>"))))
+        def by(label: str, *stems: str) -> Column:
+            # a line that holds none of the labels' stems needs no pattern
+            here = lambda x: reduce(or_, [F.contains(x, F.lit(w)) for w in stems]) & has(x, label)
+            near = F.flatten(F.transform(rows, lambda x, i: F.when(here(x), F.slice(a, i + 1, 4)).otherwise(F.array().cast("array<bigint>"))))
             return F.get(F.filter(near, lambda n: n.isNotNull()), F.lit(0))
 
-        return F.coalesce(by(NET_FIRST), by(NET_SECOND))
+        return F.coalesce(by(NET_FIRST, "NETO"), by(NET_SECOND, "TOTAL", "AFECTO", "ALECTO"))
 
     return let(amounts_, pick)
 
@@ -566,7 +572,7 @@ def amounts(c: Column) -> Column:
     """struct(neto, iva, total), nulls where there is none. total: largest dotted amount around the last total label that exceeds net and tax, else one within 100 of their sum, else the amount in words."""
 
     def of(rows: Column) -> Column:
-        last = F.array_max(F.transform(rows, lambda x, i: F.when(has(x, TOTAL_LABEL), i)))
+        last = F.array_max(F.transform(rows, lambda x, i: F.when(F.contains(x, F.lit("TOTAL")) & has(x, TOTAL_LABEL), i)))
 
         def pick(s: Column) -> Column:
             net, tax = F.coalesce(s["net"], F.lit(0)), F.coalesce(s["tax"], F.lit(0))
@@ -595,7 +601,9 @@ def contract_number(c: Column) -> Column:
     """Sign run with a digit after a contract or operation label, over a line and the one below it."""
 
     def of(rows: Column) -> Column:
-        hits = F.flatten(F.transform(with_next(rows), lambda x: F.array(*[F.regexp_replace(found(x, p), "[ .:\\-]+$", "") for p in CONTRACTS])))
+        # every label holds one of the two stems, so other lines need no pattern
+        hopeful = F.filter(with_next(rows), lambda x: F.contains(x, F.lit("CONTRAT")) | F.contains(x, F.lit("OPERAC")))
+        hits = F.flatten(F.transform(hopeful, lambda x: F.array(*[F.regexp_replace(found(x, p), "[ .:\\-]+$", "") for p in CONTRACTS])))
         return first_filled(F.filter(hits, lambda v: v.rlike(r"\d") & ~v.isin("CONTRATO", "OPERACION", "CODIGO", "INTERNO")))
 
     return let(lines_of(upper(c)), of)

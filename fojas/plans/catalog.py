@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,9 +21,9 @@ from fojas.operators.extraction import Dictionaries, extract_rows, extract_wide
 from fojas.plans import oracle
 from fojas.plans.pipeline import below_minimum, publish, run_batch, score_fields
 from fojas.schema import FIELDS, TARGET_FIELDS
-from fojas.session import read_table, spread
+from fojas.session import read_table, shared_folder, spread
 from fojas.sources import sinks
-from fojas.sources.readers import Settings, enabled_texts
+from fojas.sources.readers import Settings, dictionary_csv, enabled_texts, jsonl_pairs, log_lines
 from fojas.streaming.intake import intake_sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -636,6 +637,48 @@ def enabled_method_texts(spark, d):
     return enabled_texts(read_table(spark, d, "textos"), Settings(methods=("doctr", "nativo"))).select("id")
 
 
+def written(spark, df: DataFrame, name: str, how: Callable[[DataFrame, str], None]) -> str:
+    """The folder that df was written to, in the shared folder: files are read back by whatever executor."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    how(df, path)
+    return path
+
+
+@query("SELECT p_partkey AS clave, p_name AS nombre, CAST(p_size AS BIGINT) AS medida FROM part")
+def csv_export(spark, d):
+    part = read_table(spark, d, "part").select(F.col("p_partkey").cast("long").alias("clave"), F.col("p_name").alias("nombre"), F.col("p_size").cast("long").alias("medida"))
+    return spark.read.option("header", True).schema("clave long, nombre string, medida long").csv(written(spark, part, "csv", lambda df, path: sinks.write_csv(df, path, excel=True)))
+
+
+@query("SELECT DISTINCT upper(trim(marca)) AS marca FROM diccionario_marcas WHERE trim(marca) <> ''")
+def dictionary_file(spark, d):
+    marks = read_table(spark, d, "diccionario_marcas").select("marca")
+    return dictionary_csv(spark, written(spark, marks, "lista", lambda df, path: sinks.write_csv(df, path, excel=True)), "marca")
+
+
+@query(f"SELECT documento_id, count(*) AS pares, CAST(sum(length(valor)) AS BIGINT) AS signos FROM (SELECT documento_id, campo, max(coalesce(valor, '')) AS valor FROM ({TOP1.format(where='TRUE')}) WHERE campo IN ('marca', 'color', 'vin') GROUP BY ALL) GROUP BY documento_id")
+def jsonl_export(spark, d):
+    """Objects of three fields, written as lines of JSON and read again."""
+    best = consolidate.consolidate(read_table(spark, d, "campos")).where(F.col("campo").isin("marca", "color", "vin"))
+    objects = best.groupBy("documento_id").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("campo", F.coalesce("valor", F.lit("")))))).alias("response"))
+    lines = objects.select(F.col("documento_id").cast("string").alias("prompt"), "response")
+    read = jsonl_pairs(spark, written(spark, lines, "jsonl", lambda df, path: df.write.json(path)))
+    return read.select(F.col("prompt").cast("long").alias("documento_id"), F.size("campos").cast("long").alias("pares"), F.aggregate(F.map_values("campos"), F.lit(0).cast("long"), lambda a, v: a + F.length(v)).alias("signos"))
+
+
+@query(f"SELECT CAST(fecha AS VARCHAR) AS fecha, count(*) FILTER (nivel = 'INFO') AS INFO, count(*) FILTER (nivel = 'WARNING') AS WARNING, count(*) FILTER (nivel = 'ERROR') AS ERROR FROM ({LOG}) GROUP BY fecha")
+def log_file_levels(spark, d):
+    return audit.level_per_day(audit.parse_log(log_lines(spark, written(spark, event_log(spark, d), "log", lambda df, path: df.write.text(path))))).withColumn("fecha", F.col("fecha").cast("string"))
+
+
+@query("SELECT doc_id, n_chars AS signos FROM documents WHERE n_chars > 0")
+def dead_letters(spark, d):
+    """Texts that an engine fails on are parted from the others; here it fails on none but the empty ones."""
+    docs = read_table(spark, d, "documents").select("doc_id", F.col("n_chars").alias("signos"), F.when(F.col("n_chars") > 0, F.lit(None)).otherwise("sin texto").cast("string").alias("error"))
+    good, _ = sinks.split_errors(docs)
+    return good
+
+
 for _name, _f in (("p4_found", eav.p4_found), ("p4_wide", eav.p4_wide), ("p5_found", units.p5_found), ("p5_common_units", units.p5_common_units), ("p5_hidden_units", units.p5_hidden_units)):
     QUERIES[_name] = _f
 

@@ -44,6 +44,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(folder)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that all executors share, for files that a query writes and reads again."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/files"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and read it from there: survives lost executors, computed once."""
     ensure_checkpoint_dir(df.sparkSession)
