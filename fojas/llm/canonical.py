@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from fojas.functions.reading import ACCENTED, PLAIN, canonical_field, strip_space
 from fojas.functions.text import rx
 from fojas.llm.misread import skeleton_text
-from fojas.session import cut, read_table, spread
+from fojas.session import cut, read_table
 
 # Abbreviations in use for words of colours, places and makes.
 ABBREVIATIONS = {
@@ -38,6 +38,8 @@ LABELS_BEFORE = r"^(?:COLOR|COL|MARCA|COMUNA DE|COMUNA)\b[.: ]*"
 LABELS_AFTER = r"(?:[ /]+(?:COMBUSTIBLE|ANO|ANIO|MODELO|CHASIS|MOTOR|CIUDAD|REGION|FONO|COLOR|MARCA|COMUNA|SERIE|VIN))+$"
 #: Most entries of one trie; of a longer list several are built, one after the other.
 MOST_ENTRIES = 200_000
+#: Tasks over which the rows of one value are spread.
+SALTS = 8
 
 _FOLD = str.maketrans(ACCENTED, PLAIN)
 
@@ -166,7 +168,7 @@ ENTRIES = "array<struct<entrada: string, distancia: double>>"
 
 
 def candidate_entries(rows: DataFrame, entries: dict[str, list[str]]) -> DataFrame:
-    """rows (..., campo, valor) with entradas: the entries of the field's list within the allowed distance, cheapest first. One narrow pass; every task looks each distinct value up once."""
+    """rows (..., campo, valor) with entradas: the entries of the field's list within the allowed distance, cheapest first. Every task looks each distinct value up once."""
     sent = rows.sparkSession.sparkContext.broadcast(entries)
     fields = rows.columns
 
@@ -184,13 +186,16 @@ def candidate_entries(rows: DataFrame, entries: dict[str, list[str]]) -> DataFra
             yield b[fields].assign(entradas=out)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return spread(rows).mapInPandas(run, f"{schema}, entradas {ENTRIES}")
+    # equal values meet in the same tasks, SALTS of them, where each is looked up once
+    size = max(rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salt = F.pmod(F.hash(*[c for c in fields if c not in ("campo", "valor")]), F.lit(SALTS))
+    return rows.repartition(size, "campo", "valor", salt).mapInPandas(run, f"{schema}, entradas {ENTRIES}")
 
 
 def map_values(rows: DataFrame, entries: dict[str, list[str]], keep: list[str], most_entries: int | None = None) -> DataFrame:
     """(keep, campo, valor, termino, distancia, ambiguo, entradas): rows (keep, campo, valor) with the entry meant ('' if the list has none, distancia -1 then), whether another one is as near, and all entries within the distance.
 
-    No shuffle unless a list is longer than one trie holds. Null and blank values drop out; values of fields without
+    One shuffle, by value. Null and blank values drop out; values of fields without
     list and empty lists give ''.
     """
     size = most_entries or MOST_ENTRIES
@@ -234,6 +239,8 @@ def p7_mapping(spark, folder: str) -> DataFrame:
     lists = {f: dictionary(spark, folder, *where) for f, where in LISTS.items()}
     rows = read_table(spark, folder, "campos").select(F.col("id").alias("campo_id"), canonical_field(F.col("campo")).alias("campo"), "valor").where(F.col("campo").isin(*LISTS))
     exact = spark.createDataFrame([(f, e) for f, entries in lists.items() for e in entries], "campo string, valor string")
+    # the lists are here anyway; those of one trie each are small enough for every task
+    exact = F.broadcast(exact) if sum(map(len, lists.values())) <= MOST_ENTRIES else exact
     return map_values(rows.join(exact, ["campo", "valor"], "left_anti"), lists, ["campo_id"])
 
 
