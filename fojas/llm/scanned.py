@@ -11,6 +11,7 @@ Paragraphs are then put together again.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -191,6 +192,7 @@ _LABEL = re.compile(r"^[^a-z:]{2,24}(?:\([A-Z]+\))?:|^(?:N°|MONTO|IVA|TOTAL|NET
 _LOWER = re.compile(r"\b[a-záéíóúüñ][a-záéíóúüñ0-9€+]+")
 SHAPES = 10
 _DIGITS = re.compile(r"\d+")
+_FIELD = re.compile(r"^[^:]{1,20}:")
 
 
 def page_number(t: str) -> bool:
@@ -230,13 +232,29 @@ def shape_of(t: str) -> int:
     return 9
 
 
+#: Shapes of lines that can be furniture or repeat such a line.
+RECURRING = (1, 4, 7, 8, 9)
+
+
+def masked_line(t: str) -> str:
+    """A line without accents and case, its numbers by one sign."""
+    return _DIGITS.sub("#", unaccented(t.upper())) if t and len(t) < 90 else ""
+
+
 @lru_cache(maxsize=200_000)
-def facts(t: str) -> tuple[int, str, str, bool, str]:
-    """Of a stripped line: shape, digits masked, skeleton (of lines that can be furniture), whether it can head a page, closing word."""
+def facts(t: str) -> tuple[int, str, str, int]:
+    """Of a stripped line: shape, and of lines that can be furniture: digits masked, skeleton, number of the closing word (0 for others)."""
     shape = shape_of(t)
-    masked = _DIGITS.sub("#", unaccented(t.upper())) if t and len(t) < 90 else ""
-    heads = len(t) > 6 and not re.match(r"^[^:]{1,20}:", t)
-    return shape, masked, bone(t) if heads or shape in (7, 8, 9) else "", heads, closing(t) if shape in (7, 8, 9) and len(t) < 110 else ""
+    if shape not in RECURRING:
+        return shape, "", "", 0
+    loose = shape in (7, 8, 9) and len(t) < 110
+    return shape, masked_line(t), bone(t) if loose else "", zlib.crc32(closing(t).encode()) or 1 if loose else 0
+
+
+@lru_cache(maxsize=50_000)
+def heading(t: str) -> tuple[str, str] | None:
+    """Digits masked and skeleton of a line that can head a page."""
+    return (masked_line(t), bone(t)) if len(t) > 6 and not _FIELD.match(t) else None
 
 
 def closing(t: str) -> str:
@@ -249,8 +267,8 @@ def closing(t: str) -> str:
     return (bone(words[-1].strip(".,:;")) if words else "") + number
 
 
-def line_features(lines: list[str]) -> tuple[list[int], list[str]]:
-    """Per line one symbol out of its layout (shape, form feed, whether it repeats a head line of its text, recurs, stands beside a page number or at the foot of the text, or in a column of numbers), and its closing word ('' where it can't be furniture)."""
+def line_features(lines: list[str]) -> tuple[list[int], list[int]]:
+    """Per line one symbol out of its layout (shape, form feed, whether it repeats a head line of its text, recurs, stands beside a page number or at the foot of the text, or in a column of numbers), and the number of its closing word (0 where it can't be furniture)."""
     bare = [x.strip() for x in lines]
     known = [facts(t) for t in bare]
     shapes = [k[0] for k in known]
@@ -259,8 +277,8 @@ def line_features(lines: list[str]) -> tuple[list[int], list[str]]:
     for i, t in enumerate(bare):
         if t:
             seen_heads += 1
-            if known[i][3]:
-                heads.append((i, masked[i], known[i][2]))
+            if own := heading(t):
+                heads.append((i, *own))
             if seen_heads == 5:
                 break
     times = Counter(m for m in masked if m)
@@ -282,7 +300,7 @@ def line_features(lines: list[str]) -> tuple[list[int], list[str]]:
         near = (i > 0 and (shapes[i - 1] == 1 or "\x0c" in lines[i - 1])) or (i < last and (shapes[i + 1] == 1 or "\x0c" in lines[i + 1])) or i == foot
         column = s == 2 and above in (2, 7)
         symbols.append(((((s * 2 + ("\x0c" in lines[i])) * 2 + head) * 2 + again) * 2 + near) * 2 + column)
-        tails.append(known[i][4])
+        tails.append(known[i][3])
         above = s or above
     return symbols, tails
 
@@ -298,13 +316,13 @@ FLAG_START = np.array([[0.2, 0.05], [0.5, 0.1], [0.3, 0.1], [0.3, 0.1], [0.03, 0
 
 
 class LineModel:
-    """Hidden Markov model with four states; a line shows a symbol of its layout and, if it can be furniture, its closing word. tails: closing words told apart, by number."""
+    """Hidden Markov model with four states; a line shows a symbol of its layout and, if it can be furniture, its closing word. tails: the closing words told apart, in order."""
 
-    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray, tail: np.ndarray, tails: dict[str, int]):
+    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray, tail: np.ndarray, tails: np.ndarray):
         self.start, self.move, self.emit, self.tail, self.tails = start, move, emit, tail, tails
 
     @classmethod
-    def first(cls, tails: dict[str, int]) -> LineModel:
+    def first(cls, tails: np.ndarray) -> LineModel:
         """Where fitting starts: features by themselves, all successions alike."""
         emit = np.zeros((4, N_SYMBOLS))
         for sym in range(N_SYMBOLS):
@@ -317,17 +335,27 @@ class LineModel:
         n = len(tails) + 1
         return cls(np.full(4, 0.25), np.full((4, 4), 0.25), emit, np.full((4, n), 1 / n), tails)
 
-    def codes(self, tails: list[str]) -> list[int]:
-        """Numbers of closing words, -1 for none, 0 for those not told apart."""
-        return [self.tails.get(t, 0) if t else -1 for t in tails]
+    def codes(self, tails: list[int] | np.ndarray) -> np.ndarray:
+        """Places of closing words among those told apart, from 1; -1 for none, 0 for others."""
+        t = np.asarray(tails, np.int64)
+        at = np.searchsorted(self.tails, t)
+        known = np.append(self.tails, -1)[at] == t
+        return np.where(t == 0, -1, np.where(known, at + 1, 0))
+
+    def coded(self, symbols: list, tails: list) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(symbols, codes) of many texts, looked up at once."""
+        if not tails:
+            return []
+        ends = np.cumsum([len(t) for t in tails])[:-1]
+        return list(zip(symbols, np.split(self.codes(np.concatenate([np.asarray(t, np.int64) for t in tails])), ends)))
 
     def emissions(self, symbols: np.ndarray, codes: np.ndarray) -> np.ndarray:
         return self.emit.T[symbols] * np.where(codes[..., None] >= 0, self.tail.T[np.maximum(codes, 0)], 1.0)
 
     @staticmethod
-    def batches(texts: list[tuple[list[int], list[int]]], cells: int = 60_000) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
+    def batches(texts: list[tuple[list[int] | np.ndarray, np.ndarray]], cells: int = 60_000) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
         """(places, symbols, codes, lengths): texts of like length side by side, padded."""
-        order = sorted((i for i, t in enumerate(texts) if t[0]), key=lambda i: len(texts[i][0]))
+        order = sorted((i for i, t in enumerate(texts) if len(t[0])), key=lambda i: len(texts[i][0]))
         at = 0
         while at < len(order):
             end = at + 1
@@ -416,18 +444,18 @@ def fit_lines(texts: DataFrame, column: str, rounds: int = ROUNDS) -> LineModel:
             got = [line_features(t.split("\n")) for t in b[column]]
             yield pd.DataFrame({"symbols": [g[0] for g in got], "tails": [g[1] for g in got]})
 
-    features = spread(texts.where(F.length(column) > 0).select(column)).mapInPandas(seen, "symbols array<short>, tails array<string>")
+    features = spread(texts.where(F.length(column) > 0).select(column)).mapInPandas(seen, "symbols array<short>, tails array<long>")
     features = cut(features)
-    words = cut(features.select(F.explode("tails").alias("t")).where("t <> ''").groupBy("t").agg(F.count("*").alias("n")))
+    words = cut(features.select(F.explode("tails").alias("t")).where("t <> 0").groupBy("t").agg(F.count("*").alias("n")))
     total = words.agg(F.sum("n")).first()[0] or 0
     tails = sorted(r["t"] for r in words.where(F.col("n") >= total * TAIL_SHARE).collect())
-    model = LineModel.first({t: i + 1 for i, t in enumerate(tails)})
+    model = LineModel.first(np.array(tails, np.int64))
     for _ in range(rounds):
 
         def expect(batches: Iterator[pd.DataFrame], model=model) -> Iterator[pd.DataFrame]:
             total = None
             for b in batches:
-                c = model.expected([(s.tolist(), model.codes(t.tolist())) for s, t in zip(b["symbols"], b["tails"])])
+                c = model.expected(model.coded(b["symbols"].tolist(), b["tails"].tolist()))
                 total = c if total is None else total + c
             if total is not None:
                 at = np.flatnonzero(total)
@@ -502,7 +530,7 @@ class Repairer:
     def states(self, texts: list[str]) -> list[list[int]]:
         """States of the lines of many texts."""
         got = [line_features(t.split("\n")) for t in texts]
-        return self.model.decode([(s, self.model.codes(t)) for s, t in got])
+        return self.model.decode(self.model.coded([g[0] for g in got], [g[1] for g in got]))
 
     def read(self, text: str, states: list[int] | None = None) -> tuple[list[str], list[int], list[str | None], list[bool]]:
         """Lines, their states, the whole word a line ends inside of, whether a word of running text on it is misread."""

@@ -54,7 +54,7 @@ def test_misreadings_are_directed():
 def model_of(seed, tails=2):
     rng = np.random.default_rng(seed)
     norm = lambda a: a / a.sum(axis=-1, keepdims=True)
-    return S.LineModel(norm(rng.random(4)), norm(rng.random((4, 4))), norm(rng.random((4, S.N_SYMBOLS))), norm(rng.random((4, tails + 1))), {str(i): i + 1 for i in range(tails)})
+    return S.LineModel(norm(rng.random(4)), norm(rng.random((4, 4))), norm(rng.random((4, S.N_SYMBOLS))), norm(rng.random((4, tails + 1))), np.arange(5, 5 + tails))
 
 
 def path_score(model, syms, codes, p):
@@ -65,7 +65,8 @@ def path_score(model, syms, codes, p):
 def test_decode_is_the_best_path():
     """Viterbi against all paths, texts of several lengths side by side."""
     model = model_of(2)
-    texts = [([3, 64, 17, 160, 5], [-1, 0, 2, -1, 1]), ([8], [1]), ([], []), ([3, 70], [-1, 2])]
+    texts = [(s, np.array(c)) for s, c in (([3, 64, 17, 160, 5], [-1, 0, 2, -1, 1]), ([8], [1]), ([], []), ([3, 70], [-1, 2]))]
+    assert model.codes([0, 5, 6, 7, 3]).tolist() == [-1, 1, 2, 0, 0]
     got = model.decode(texts)
     for (syms, codes), states in zip(texts, got):
         assert tuple(states) == (max(product(range(4), repeat=len(syms)), key=lambda p: path_score(model, syms, codes, p)) if syms else ())
@@ -73,7 +74,7 @@ def test_decode_is_the_best_path():
 
 def test_expected_counts_against_all_paths():
     model = model_of(3)
-    texts = [([3, 64, 17], [-1, 0, 2]), ([8, 9], [1, -1])]
+    texts = [([3, 64, 17], np.array([-1, 0, 2])), ([8, 9], np.array([1, -1]))]
     start, move, emit, tail = np.zeros(4), np.zeros((4, 4)), np.zeros((4, S.N_SYMBOLS)), np.zeros((4, 3))
     for syms, codes in texts:
         paths = list(product(range(4), repeat=len(syms)))
