@@ -29,7 +29,11 @@ def contained_in(texts: DataFrame, column: str, dictionary: DataFrame, term: str
     terms = terms_table(dictionary, term)
     lengths = sorted(r[0] for r in terms.select(F.length("t")).distinct().collect())
     own = texts.select(column).where(F.col(column).isNotNull()).distinct()
-    spans = F.flatten(F.array(*[F.transform(F.sequence(F.lit(1), F.greatest(F.length(column) - (n - 1), F.lit(1))), lambda i, n=n: F.substring(F.col(column), i, F.lit(n))) for n in lengths])) if lengths else F.array().cast("array<string>")
+
+    def pieces(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(column) - (n - 1), F.lit(1))), lambda i: F.substring(F.col(column), i, F.lit(n)))
+
+    spans = F.flatten(F.array(*map(pieces, lengths))) if lengths else F.array().cast("array<string>")
     hits = own.select(column, F.explode(F.array_distinct(spans)).alias("t")).join(terms, "t").groupBy(column).agg(F.count("*").alias("n"), F.min_by("t", F.struct(-F.length("t"), F.col("t"))).alias("mas_largo"))
     return own.join(hits, column, "left").select(column, F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("mas_largo", F.lit("")).alias("mas_largo"))
 

@@ -346,6 +346,19 @@ def direccion_comprador() -> str:
     )
 
 
+def telefono_comprador() -> str:
+    number = r"(?:\d{1,3}(?:\.\d{3}){1,2}|\d{7,8})-[\dkK]"
+    rest = f"regexp_extract({TEXT}, {q(rf'(?s)^.*?(?:^|[^0-9]){number}[^0-9](?:.*?[^0-9])?{number}((?:[^0-9].*)?)$')}, 1)"
+    lines = f"list_filter(list_transform(string_split({ENDS.format(x=rest)}, chr(10)), lambda x: {strip('x')}), lambda x: x <> '')"
+    d = r"regexp_replace(x, '[^\d+]', '', 'g')"
+    form = f"CASE WHEN (starts_with({d}, '56') AND length({d}) >= 11) OR (starts_with({d}, '+56') AND length({d}) >= 12) THEN '+56' || right({d}, 9) WHEN length({d}) >= 8 THEN right({d}, 9) ELSE '' END"
+    near = f"regexp_extract_all(r[k] || chr(10) || coalesce(r[k + 1], ''), {q(X.PHONE)})"
+    return (
+        f"SELECT id, CASE WHEN k > 0 THEN {first(f'list_transform({near}, lambda x: {form})')} ELSE '' END AS valor FROM "
+        f"(SELECT *, coalesce(list_position(list_transform(r, lambda x: regexp_matches(upper(x), 'TELEFONO|TELÉFONO')), true), 0) AS k FROM (SELECT id, {lines} AS r FROM textos))"
+    )
+
+
 def color() -> str:
     """Greedily three, two or one word; state: next place, text so far; v: the place looked at."""
     u = rf"trim(regexp_replace(regexp_replace({ext(UPPER, X.COLOUR)}, '[^\pL\pN_\s]', ' ', 'g'), '\s+', ' ', 'g'))"
@@ -499,7 +512,7 @@ def pieces() -> dict[str, str]:
         "extract_potencia_motor": over(FULL_LINES, power()), "extract_unidad_potencia": over(FULL_LINES, f"CASE WHEN {power()} <> '' THEN {ext('u', '(KCAL/S|BTU/S|CV|HP|KP|KW)')} ELSE '' END"),
         "extract_transmision": transmision(), "extract_monto_neto": f"SELECT id, coalesce(CAST({net()} AS VARCHAR), '') AS valor FROM {AMOUNTS}", "extract_monto_iva": f"SELECT id, coalesce(CAST({tax()} AS VARCHAR), '') AS valor FROM {AMOUNTS}",
         "extract_monto_total": monto_total(), "extract_num_contrato": num_contrato(), "extract_tipo_vehiculo": tipo_vehiculo(), "extract_fecha_documento": fecha_documento(),
-        "extract_nombre_proveedor": nombre_proveedor(), "extract_nombre_comprador": nombre_comprador(), "extract_n_motor": n_motor(), "extract_n_chasis": n_chasis(), "p4_found": f"SELECT documento_id, campo, v AS valor FROM ({best_cells(FOUND_FIELDS, 'NULL')})", "p4_wide": wide_table(), "p5_found": stated_units(), "extract_localidad": localidad(), "extract_direccion_comprador": direccion_comprador(), "extract_color": color(), "extract_tipo_carroceria": tipo_carroceria(),
+        "extract_nombre_proveedor": nombre_proveedor(), "extract_nombre_comprador": nombre_comprador(), "extract_n_motor": n_motor(), "extract_n_chasis": n_chasis(), "p4_found": f"SELECT documento_id, campo, v AS valor FROM ({best_cells(FOUND_FIELDS, 'NULL')})", "p4_wide": wide_table(), "p5_found": stated_units(), "extract_localidad": localidad(), "extract_direccion_comprador": direccion_comprador(), "extract_telefono_comprador": telefono_comprador(), "extract_color": color(), "extract_tipo_carroceria": tipo_carroceria(),
         "extract_ciudad_comprador": with_terms(contained(ext("u", r"(?:CIUDAD\s*[:\-]?\s*)([A-Z\s]+)")), "diccionario_comunas", "comuna"),
         "extract_marca": f"SELECT id, m AS valor FROM {marca(terms('diccionario_marcas', 'marca'))}", "extract_cit_por_marca": cit_por_marca(),
     }
