@@ -32,26 +32,28 @@ RUN, AGREE = 17, 0.7
 INDEX_WORDS = 50_000
 CHUNK = 60_000
 
+_PARTED = re.compile(r"(?<=\w)[-­¬]\s*\n\s*(?=\w)")
 _TOKEN = re.compile(r"[^\W_]+(?:[€+|!@$][^\W_]+)*[€+]?|[€+][^\W_]+")
 
 
+class Folded(dict):
+    """Spellings already met, with their folded words."""
+
+    def __missing__(self, t: str) -> str:
+        if len(self) > 300_000:
+            self.clear()
+        out = self[t] = bone(t)
+        return out
+
+
 class Folder:
-    """Text to folded words; spellings already met are kept."""
+    """Text to folded words."""
 
     def __init__(self):
-        self.seen: dict[str, str] = {}
+        self.seen = Folded()
 
     def words(self, text: str) -> list[str]:
-        text = re.sub(r"(?<=\w)[-­¬]\s*\n\s*(?=\w)", "", text.lower())
-        out = []
-        for t in _TOKEN.findall(text):
-            b = self.seen.get(t)
-            if b is None:
-                if len(self.seen) > 300_000:
-                    self.seen.clear()
-                b = self.seen[t] = bone(t)
-            out.append(b)
-        return out
+        return list(map(self.seen.__getitem__, _TOKEN.findall(_PARTED.sub("", text.lower()))))
 
 
 def signs(word: str, weight: float) -> np.ndarray:
