@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -35,33 +36,37 @@ SHARE = 0.25
 FEWEST_WORDS = 3
 
 _END = re.compile(r"(?<=[.!?])\s+|\n\s*\n")
+_PARTED = re.compile(r"(?<=\w)[-­¬]\s*\n\s*(?=\w)")
 _TOKEN = re.compile(r"[^\W_]+(?:[€+@$|!][^\W_]+)*[€+]?|[€+][^\W_]+")
 
 
-class Tokens:
-    """Text to sentences of folded words."""
-
-    def __init__(self):
-        self.seen: dict[str, str] = {}
-
-    def fold(self, t: str) -> str:
-        b = self.seen.get(t)
-        if b is None:
-            if len(self.seen) > 200_000:
-                self.seen.clear()
-            b = self.seen[t] = "#" if t.isdigit() else bone(t)
-        return b
-
-    def sentences(self, text: str) -> list[list[str]]:
-        text = re.sub(r"(?<=\w)[-­¬]\s*\n\s*(?=\w)", "", text)
-        out = []
-        for s in _END.split(text):
-            words = [self.fold(t) for t in _TOKEN.findall(s.lower())]
-            if len(words) >= FEWEST_WORDS:
-                out.append(words)
+class Folded(dict):
+    """Tokens with what stands for them, kept: the folded word, or its number in a vocabulary (unknown for others)."""
+
+    def __init__(self, vocabulary: dict[str, int] | None, unknown: int):
+        super().__init__()
+        self.vocabulary, self.unknown = vocabulary, unknown
+
+    def __missing__(self, t: str):
+        if len(self) > 200_000:
+            self.clear()
+        b = "#" if t.isdigit() else bone(t)
+        out = self[t] = b if self.vocabulary is None else self.vocabulary.get(b, self.unknown)
         return out
 
 
+class Tokens:
+    """Text to sentences of folded words, or of their numbers in a vocabulary."""
+
+    def __init__(self, vocabulary: dict[str, int] | None = None, unknown: int = -1):
+        self.seen = Folded(vocabulary, unknown)
+
+    def sentences(self, text: str) -> list[list]:
+        text = _PARTED.sub("", text.lower())
+        found = (_TOKEN.findall(s) for s in _END.split(text))
+        return [list(map(self.seen.__getitem__, t)) for t in found if len(t) >= FEWEST_WORDS]
+
+
 class Models:
     """Log-probabilities of known words [V, K] and known pairs [B, K] under the K models, the general one last."""
 
@@ -69,10 +74,15 @@ class Models:
         self.vocabulary, self.keys = vocabulary, keys
         self.size = len(vocabulary) + 2  # one for unknown words, one for the start
 
-    def encode(self, sentences: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Word ids, pair places (-1 unknown) and first places of the sentences, all joined."""
+    def tokens(self) -> Tokens:
+        """Text to sentences of word ids."""
+        return Tokens(self.vocabulary, self.size - 2)
+
+    def encode(self, sentences: list[list]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Word ids, pair places (-1 unknown) and first places of the sentences (of words or their ids), all joined."""
         unknown, start = self.size - 2, self.size - 1
-        ids = np.fromiter((self.vocabulary.get(w, unknown) for s in sentences for w in s), np.int64)
+        words = chain.from_iterable(sentences)
+        ids = np.fromiter(words if sentences and isinstance(sentences[0][0], int) else (self.vocabulary.get(w, unknown) for w in words), np.int64)
         sizes = np.array([len(s) for s in sentences])
         first = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
         before = np.empty_like(ids)
@@ -261,7 +271,8 @@ def background_counts(documents: DataFrame, models: Models) -> tuple[np.ndarray,
     sent = documents.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        models, tokens = sent.value, Tokens()
+        models = sent.value
+        tokens = models.tokens()
         uni, bi = np.zeros(models.size), np.zeros(len(models.keys))
         for b in batches:
             for at in range(0, len(b), 500):
@@ -299,7 +310,8 @@ def document_subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame)
     sent = documents.sparkSession.sparkContext.broadcast(train_subjects(documents, labels, areas))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        subjects, tokens = sent.value, Tokens()
+        subjects = sent.value
+        tokens = subjects.models.tokens() if subjects.models else Tokens()
         for b in batches:
             for at in range(0, len(b), 500):
                 part = b.iloc[at : at + 500]
