@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,8 @@ RUN, AGREE = 17, 0.7
 INDEX_WORDS = 50_000
 CHUNK = 60_000
 
-_PARTED = re.compile(r"(?<=\w)[-­¬]\s*\n\s*(?=\w)")
+# the hyphen is looked for first, as most places have none
+_PARTED = re.compile(r"[-­¬](?<=\w[-­¬])\s*\n\s*(?=\w)")
 _TOKEN = re.compile(r"[^\W_]+(?:[€+|!@$][^\W_]+)*[€+]?|[€+][^\W_]+")
 
 
@@ -62,6 +64,16 @@ def signs(word: str, weight: float) -> np.ndarray:
     return ((bits.astype(np.int8) * 2 - 1) * round(weight * 4)).astype(np.int8)
 
 
+class Signed(dict):
+    """Signs of words that no item has, kept; they weigh 1."""
+
+    def __missing__(self, w: str) -> np.ndarray:
+        if len(self) > 100_000:
+            self.clear()
+        out = self[w] = signs(w, 1.0)
+        return out
+
+
 class Index:
     """Fingerprints of all windows of the items, findable within RADIUS."""
 
@@ -73,6 +85,7 @@ class Index:
         n = max(len(self.items), 1)
         self.weights = {w: float(np.clip(np.log((n + 1) / (c + 0.5)), 0.5, 3.0)) for w, c in seen.items()}
         self.vocabulary = {w: i for i, w in enumerate(self.weights)}
+        self.unknown = Signed()
         self.signs = np.stack([signs(w, x) for w, x in self.weights.items()] or [np.zeros(64, np.int8)])
         keys, owner, place = [], [], []
         for k, ws in self.items.items():
@@ -88,25 +101,17 @@ class Index:
             near = np.concatenate([part, *[part ^ (1 << i) for i in range(16)]])
             who = np.tile(np.arange(len(part)), 17)
             order = np.argsort(near, kind="stable")
-            self.tables.append((np.searchsorted(near[order], np.arange(65537)), who[order].astype(np.int32)))
-        self.unknown: dict[str, np.ndarray] = {}
+            self.tables.append((np.searchsorted(near[order], np.arange(65537)), who[order].astype(np.int32), self.keys[who[order]]))
 
     def matrix(self, words: list[str]) -> np.ndarray:
         """Signs of a text's words, [n, 64]; words that no item has weigh 1."""
-        out = np.empty((len(words), 64), np.int8)
-        at = np.array([self.vocabulary.get(w, -1) for w in words], np.int64)
-        known = at >= 0
-        out[known] = self.signs[at[known]]
-        for i in np.flatnonzero(~known):
-            w = words[i]
-            s = self.unknown.get(w) if hasattr(self, "unknown") else None
-            if s is None:
-                s = signs(w, 1.0)
-                if hasattr(self, "unknown"):
-                    if len(self.unknown) > 100_000:
-                        self.unknown.clear()
-                    self.unknown[w] = s
-            out[i] = s
+        at = np.fromiter(map(self.vocabulary.get, words, repeat(-1)), np.int64, len(words))
+        out = self.signs[at]
+        other = np.flatnonzero(at < 0)
+        if len(other):
+            place: dict[str, int] = {}
+            own = [place.setdefault(words[i], len(place)) for i in other]
+            out[other] = np.stack(list(map(self.unknown.__getitem__, place)))[own]
         return out
 
     def fingerprints(self, m: np.ndarray) -> np.ndarray:
@@ -126,15 +131,15 @@ class Index:
     def near(self, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position in f, index of item window) of all pairs within RADIUS."""
         left, right = [], []
-        for b, (starts, who) in enumerate(self.tables):
+        for b, (starts, who, keys) in enumerate(self.tables):
             part = ((f >> np.uint64(16 * b)) & np.uint64(0xFFFF)).astype(np.int64)
-            n = starts[part + 1] - starts[part]
+            begin = starts[part]
+            n = starts[part + 1] - begin
             at = np.repeat(np.arange(len(f)), n)
-            offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            other = who[np.repeat(starts[part], n) + offset]
-            ok = np.bitwise_count(f[at] ^ self.keys[other]) <= RADIUS
+            place = np.arange(len(at)) + np.repeat(begin - (np.cumsum(n) - n), n)
+            ok = np.flatnonzero(np.bitwise_count(np.repeat(f, n) ^ keys[place]) <= RADIUS)
             left.append(at[ok])
-            right.append(other[ok])
+            right.append(who[place[ok]])
         return np.concatenate(left), np.concatenate(right)
 
     def run(self, doc: list[str], item: list[str], p: int, q: int, passed: set[int] | None = None) -> tuple[int, float, int, int]:
