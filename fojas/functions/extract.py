@@ -24,6 +24,7 @@ from fojas.functions.text import (
     full_lines,
     header_and_body,
     lines_of,
+    literal_rows,
     longest_first,
     number_words,
     rx,
@@ -98,6 +99,10 @@ CONTRACTS = [
 ]
 
 
+#: A term with its pattern or spelling.
+PAIR = "struct<t: string, p: string>"
+
+
 def upper(c: Column) -> Column:
     return F.upper(text_of(c))
 
@@ -115,6 +120,11 @@ def at(a: Column, i) -> Column:
     return F.coalesce(F.get(a, i if isinstance(i, Column) else F.lit(i)), F.lit(""))
 
 
+def first_of(*values: Column) -> Column:
+    """The first of the values that isn't ''; later ones are computed only if those before them are."""
+    return F.coalesce(*[let(v, lambda x: F.when(x != "", x)) for v in values], F.lit(""))
+
+
 def with_next(rows: Column) -> Column:
     """Each line joined with the one after it."""
     return F.transform(rows, lambda x, i: F.when(i + 1 < F.size(rows), F.concat(strip(x), F.lit(" "), strip(at(rows, i + 1)))).otherwise(strip(x)))
@@ -138,7 +148,8 @@ def locality(c: Column, communes: list[str]) -> Column:
     terms = longest_first(communes)
 
     def of(u: Column) -> Column:
-        near = F.array(*[F.regexp_replace(found(u, v + r"[-:\s]*([A-Z\s]{3,30})"), r"(?s)[\n\r:.,].*$", "") for v in TAX_OFFICE])
+        # no spelling of the initials fits a text without a letter of each
+        near = F.when(u.rlike(r"[S5][.\s\-]*[I1L][.\s\-]*[I1L]"), F.array(*[F.regexp_replace(found(u, v + r"[-:\s]*([A-Z\s]{3,30})"), r"(?s)[\n\r:.,].*$", "") for v in TAX_OFFICE])).otherwise(F.array().cast("array<string>"))
         return first_filled(F.transform(F.filter(near, lambda x: x != ""), lambda x: first_contained(x, terms)))
 
     return let(upper(c), of)
@@ -192,7 +203,7 @@ def supplier_name(c: Column) -> Column:
             before = F.reverse(F.slice(rows, 1, F.greatest(k - 1, F.lit(0))))
             after = F.slice(rows, k + 1, F.size(rows))
             joined = F.filter(rows, lambda x: let(F.upper(F.regexp_replace(x, rx(r"\W"), "")), lambda j: ~j.rlike("|".join(NOT_A_SUPPLIER)) & j.rlike("|".join(LEGAL_FORMS))))
-            return F.when(k > 0, first_filled(F.concat(F.filter(F.concat(before, after), names_firm), joined))).otherwise("")
+            return F.when(k > 0, first_of(first_filled(F.filter(before, names_firm)), first_filled(F.filter(after, names_firm)), first_filled(joined))).otherwise("")
 
         return let(where, pick)
 
@@ -245,7 +256,9 @@ def buyer_address(c: Column, communes: list[str]) -> Column:
 
         def cut(v: Column) -> Column:
             v = F.regexp_replace(v, r"(?iu)^[^A-ZÁÉÍÓÚÑ0-9 ]+", "")
-            after = F.filter(terms_array(terms), lambda t: F.rlike(F.upper(v), F.concat(F.lit(r"(?U)([^\w\s]|[0-9])\s*\Q"), t, F.lit(r"\E"))))
+            # a term that isn't contained needs no pattern of its own
+            held = F.filter(terms_array(terms), lambda t: F.contains(F.upper(v), t))
+            after = F.filter(held, lambda t: F.rlike(F.upper(v), F.concat(F.lit(r"(?U)([^\w\s]|[0-9])\s*\Q"), t, F.lit(r"\E"))))
             at_term = F.instr(F.upper(v), F.get(after, F.lit(0)))
             return strip(F.substring(strip(F.when(at_term > 0, F.substring(v, F.lit(1), at_term - 1)).otherwise(v)), 1, 50))
 
@@ -305,8 +318,8 @@ def vehicle_type(c: Column) -> Column:
     """Longest type named after a vehicle-type label, else longest named as a whole word."""
     types = longest_first(VEHICLE_TYPES)
     labelled = [rf"(?U)TIPO(?:\s+DE)?\s+VEHICULO[\s:\-]*{t}(?=\b|[^A-Z])|VEHICULO[\s:\-]*{t}|TIPOVEHICULO{t}" for t in types]
-    table = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in zip(types, labelled)])
-    words = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(rf"(?U)\b{t}\b").alias("p")) for t in types])
+    table = literal_rows([{"t": t, "p": p} for t, p in zip(types, labelled)], PAIR)
+    words = literal_rows([{"t": t, "p": rf"(?U)\b{t}\b"} for t in types], PAIR)
 
     def of(u: Column) -> Column:
         # a type that isn't contained needs no pattern
@@ -333,8 +346,8 @@ def make(c: Column, makes: list[str], close: Column | None = None) -> Column:
     word_text = lambda t: F.concat(F.lit(" "), F.regexp_replace(t, r"[^A-Z0-9_]+", " "), F.lit(" "))
     exact = F.filter(make_candidates(c), lambda v: F.array_contains(terms_array(terms), v)) if terms else F.array().cast("array<string>")
     spelled = [" " + "".join(ch if ch.isalnum() or ch == "_" else " " for ch in t) + " " for t in terms]
-    table = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(s).alias("s")) for t, s in zip(terms, spelled)]) if terms else None
-    word = let(word_text(make_text(c)), lambda u: F.coalesce(F.get(F.filter(table, lambda s: F.contains(u, s["s"])), F.lit(0))["t"], F.lit(""))) if terms else F.lit("")
+    table = literal_rows([{"t": t, "p": s} for t, s in zip(terms, spelled)], PAIR) if terms else None
+    word = let(word_text(make_text(c)), lambda u: F.coalesce(F.get(F.filter(table, lambda s: F.contains(u, s["p"])), F.lit(0))["t"], F.lit(""))) if terms else F.lit("")
     return first_filled(F.array(first_filled(exact) if close is None else close, word))
 
 
@@ -352,7 +365,7 @@ def engine_number(c: Column) -> Column:
         rows = lines_of(u)
         near = F.transform(F.filter(F.transform(rows, lambda x, i: F.when(x.rlike(ENGINE_LABEL), strip(F.concat(x, F.lit(" "), at(rows, i + 1))))), lambda x: x.isNotNull()), lambda x: first_filled(bare(all_of(cut_at(x, ENGINE_ENDS), r"[A-Z0-9\-]{7,30}", 0))))
         words = F.filter(all_of(u, r"\b[A-Z0-9]{7,20}\b", 0), lambda x: x.rlike(r"\d"))
-        return first_filled(F.concat(near, F.slice(words, 1, 1), bare(all_of(u, r"[A-Z0-9\-]{7,30}", 0))))
+        return first_of(first_filled(near), at(words, 0), first_filled(bare(all_of(u, r"[A-Z0-9\-]{7,30}", 0))))
 
     return let(upper(c), of)
 
@@ -365,10 +378,11 @@ def chassis_valid(c: Column) -> Column:
 
 def chassis_number(c: Column) -> Column:
     def of(u: Column) -> Column:
-        labelled = F.translate(found(u, CHASSIS), " -", "")
+        # every label holds one of the two stems
+        labelled = F.when(F.contains(u, F.lit("CHAS")) | F.contains(u, F.lit("NUMERO CH")), F.translate(found(u, CHASSIS), " -", "")).otherwise("")
         words = F.filter(all_of(u, r"\b[A-Z0-9]{12,20}\b", 0), chassis_valid)
         runs = F.filter(all_of(u, r"[A-Z0-9\-]{12,30}", 0), chassis_valid)
-        return first_filled(F.concat(F.array(F.when(chassis_valid(labelled), labelled).otherwise("")), F.slice(words, 1, 1), F.slice(runs, 1, 1)))
+        return first_of(let(labelled, lambda x: F.when(chassis_valid(x), x).otherwise("")), at(words, 0), at(runs, 0))
 
     return let(F.regexp_replace(F.regexp_replace(upper(c), r"([A-Z]{3,15})\s*:", "\n$1:"), "II|//|  ", "\n"), of)
 
@@ -406,7 +420,7 @@ def weight_unit(c: Column) -> Column:
     def of(u: Column) -> Column:
         rows = lines_of(u)
         near = F.transform(rows, lambda x, i: F.when(x.rlike(WEIGHT_LABEL_FOR_UNIT), first_filled(F.array(found(x, WEIGHT_UNIT), found(at(rows, i + 1), WEIGHT_UNIT)))).otherwise(""))
-        return first_filled(F.concat(near, F.array(found(u, WEIGHT_UNIT))))
+        return first_of(first_filled(near), found(u, WEIGHT_UNIT))
 
     return let(upper(c), of)
 
@@ -426,8 +440,8 @@ def gross_weight(c: Column) -> Column:
 
 def report_code_by_make(c: Column, make_: Column, prefixes: list[tuple[str, str]] | None = None) -> Column:
     """First code of the form XXXXXX-Y that begins with one of the make's prefixes."""
-    table = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(p).alias("p")) for m, p in (prefixes or REPORT_CODE_PREFIXES)])
-    own = F.filter(table, lambda s: s["m"] == F.upper(make_))
+    table = literal_rows([{"t": m, "p": p} for m, p in (prefixes or REPORT_CODE_PREFIXES)], PAIR)
+    own = F.filter(table, lambda s: s["t"] == F.upper(make_))
     return let(own, lambda o: first_filled(F.filter(all_of(upper(c), r"\b[A-Z0-9]{6,}\-[A-Z0-9]{1,3}\b", 0), lambda x: F.exists(o, lambda s: F.startswith(x, s["p"])))))
 
 
@@ -445,7 +459,7 @@ def fuel(c: Column) -> Column:
     def of(rows: Column) -> Column:
         hopeful = F.filter(with_next(rows), lambda x: F.contains(x, F.lit("COMBUSTIBLE")))
         labelled = F.transform(hopeful, lambda x: found(x, rf"(?:TIPO\s+DE\s+COMBUSTIBLE|TIPO\s+COMBUSTIBLE|COMBUSTIBLE)[\s:\-]*({FUELS})"))
-        return first_filled(F.concat(labelled, F.transform(rows, lambda x: first_contained(x, FUEL_WORDS))))
+        return first_of(first_filled(labelled), first_filled(F.transform(rows, lambda x: first_contained(x, FUEL_WORDS))))
 
     return let(lines_of(upper(c)), of)
 
@@ -501,7 +515,9 @@ def bodywork(c: Column, kinds: list[str]) -> Column:
     terms = longest_first(kinds)
 
     def of(u: Column) -> Column:
-        return first_filled(F.concat(F.array(first_contained(found(u, BODYWORK), terms)), F.transform(lines_of(u), lambda x: first_contained(x, terms))))
+        # only a text that holds a term needs its lines looked at
+        held = first_contained(u, terms)
+        return first_of(first_contained(found(u, BODYWORK), terms), F.when(held == "", "").otherwise(first_filled(F.transform(lines_of(u), lambda x: first_contained(x, terms)))))
 
     return let(upper(c), of)
 

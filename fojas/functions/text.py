@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column
@@ -50,8 +51,13 @@ def first_filled(values: Column) -> Column:
     return F.coalesce(F.get(F.filter(values, lambda x: F.coalesce(x, F.lit("")) != ""), F.lit(0)), F.lit(""))
 
 
+def literal_rows(rows: list, schema: str) -> Column:
+    """A list as one literal of the plan, folded when it is optimised, instead of one for each of its values."""
+    return F.from_json(F.lit(json.dumps(rows, ensure_ascii=False)), f"array<{schema}>")
+
+
 def terms_array(terms: list[str]) -> Column:
-    return F.array(*[F.lit(t) for t in terms]) if terms else F.array().cast("array<string>")
+    return literal_rows(list(terms), "string")
 
 
 def longest_first(terms) -> list[str]:
