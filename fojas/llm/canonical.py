@@ -188,7 +188,7 @@ def candidate_entries(rows: DataFrame, entries: dict[str, list[str]]) -> DataFra
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     # equal values meet in the same tasks, SALTS of them, where each is looked up once
     size = max(rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    salt = F.pmod(F.hash(*[c for c in fields if c not in ("campo", "valor")]), F.lit(SALTS))
+    salt = F.pmod(F.hash(F.lit(0), *[c for c in fields if c not in ("campo", "valor")]), F.lit(SALTS))
     return rows.repartition(size, "campo", "valor", salt).mapInPandas(run, f"{schema}, entradas {ENTRIES}")
 
 
