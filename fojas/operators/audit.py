@@ -60,3 +60,9 @@ def day_summary(levels: DataFrame) -> DataFrame:
 def run_totals(results: DataFrame) -> DataFrame:
     """Files and bytes per outcome of (resultado, bytes) (AGG8)."""
     return results.groupBy("resultado").agg(F.count("*").alias("archivos"), F.sum("bytes").alias("bytes"))
+
+
+def summary_mail(lines: DataFrame, subject: str = "Resumen de registros") -> DataFrame:
+    """(asunto, cuerpo): the message of a summary (fecha, linea), a line per day (SNK14); sending it is left to the caller. One row, of a line for each day that the logs span; without lines none."""
+    sorted_ = F.array_sort(F.collect_list(F.struct("fecha", "linea")))
+    return lines.groupBy(F.lit(subject).alias("asunto")).agg(F.array_join(F.transform(sorted_, lambda s: s["linea"]), "\n").alias("cuerpo"))

@@ -632,6 +632,16 @@ def log_summary_lines(spark, d):
     return audit.day_summary(audit.level_per_day(audit.parse_log(event_log(spark, d)))).withColumn("fecha", F.col("fecha").cast("string"))
 
 
+@query("SELECT 'Resumen de registros' AS asunto, string_agg(linea, chr(10) ORDER BY fecha) AS cuerpo FROM (" + SQL["log_summary_lines"] + ")")
+def log_summary_mail(spark, d):
+    return audit.summary_mail(log_summary_lines(spark, d))
+
+
+@query(f"SELECT DISTINCT documento_id, 'documento_' || documento_id || '.html' AS archivo FROM campos WHERE {LIVE} AND valor <> '' AND documento_id IS NOT NULL")
+def report_files(spark, d):
+    return sinks.report_files(html_reports(spark, d))
+
+
 @query(f"SELECT id FROM textos WHERE {sql_strip('coalesce(texto_extraccion, $$$$)')} <> '' AND metodo IN ('doctr', 'nativo')")
 def enabled_method_texts(spark, d):
     return enabled_texts(read_table(spark, d, "textos"), Settings(methods=("doctr", "nativo"))).select("id")

@@ -49,6 +49,11 @@ def html_reports(rows: DataFrame) -> DataFrame:
     return body.select("documento_id", F.concat(F.lit("<html><body><h1>Documento "), F.col("documento_id").cast("string"), F.lit("</h1><table>\n"), "b", F.lit("\n</table></body></html>")).alias("html"))
 
 
+def report_files(reports: DataFrame) -> DataFrame:
+    """(documento_id, archivo): the reports by the names under which they are served (SNK15); documents without id have none."""
+    return reports.where(F.col("documento_id").isNotNull()).select("documento_id", F.concat(F.lit("documento_"), F.col("documento_id").cast("string"), F.lit(".html")).alias("archivo"))
+
+
 def split_errors(results: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, dead letters) by the column error (SNK11)."""
     return results.where("error IS NULL").drop("error"), results.where("error IS NOT NULL")
