@@ -44,3 +44,17 @@ def test_missing_units_are_predicted(spark):
     out = units.common_units(spark.createDataFrame(rows, COLS), spark.createDataFrame([(i, "nativo") for i in range(2, 700)], DOCS))
     sure = {r["documento_id"]: r["base"] for r in out.where("destino = 'asignada'").collect()}
     assert len(sure) > 0.8 * len(truth) and all(abs(sure[k] - truth[k]) < 1 for k in sure)
+
+
+def test_collecting_record_is_read_whole(spark, tmp_path):
+    """Every number on documento_id 1 comes out, with the unit within it only: the record's unit rows speak for no sheet. Documents are as without it."""
+    rows = [
+        (1, 1, "a", "pbv", "12,51 T0N", None, None), (2, 1, "b", "pbv", "12,51 TON", None, None), (3, 1, "a", "pbv", "5.000 KG", None, None), (4, 1, "a", "pbv", "7.200", None, None),
+        (5, 1, "a", "unidad_pbv", "KG", None, None), (6, 1, "a", "potencia_motor", "209 HP", None, None), (7, 1, "a", "pbv", "9.000 KG", None, datetime(2024, 1, 1)),
+        (8, 4, "a", "pbv", "1.360", None, None), (9, 4, "b", "unidad_pbv", "KG", None, None), (10, 4, "b", "pbv", "1.900", None, None), (11, 4, "c", "pbv", "1.360", None, None),
+    ]
+    spark.createDataFrame(rows, COLS).write.parquet(f"{tmp_path}/campos.parquet")
+    spark.createDataFrame([(1, "nativo"), (4, "nativo")], DOCS).write.parquet(f"{tmp_path}/documentos.parquet")
+    got = sorted((r["documento_id"], r["campo"], r["num"], r["destino"] == "declarada", r["destino"] == "declarada" and r["unidad"]) for r in units.p5_common_units(spark, str(tmp_path)).collect())
+    assert got == [(1, "pbv", "12,51", True, "ton"), (1, "pbv", "5.000", True, "kg"), (1, "pbv", "7.200", False, False), (1, "potencia_motor", "209", True, "hp"), (4, "pbv", "1.360", True, "kg")]
+    assert [tuple(r) for r in units.p5_found(spark, str(tmp_path)).collect()] == [(4, "pbv", 1360)]
