@@ -195,12 +195,13 @@ def held_out_currency(consolidated: DataFrame, campos: DataFrame, documents: Dat
 
 
 def p6_survivors(spark, folder: str) -> DataFrame:
-    return survivors(read_table(spark, folder, "consolidada").where("documento_id <> 1"), read_table(spark, folder, "campos").where("documento_id <> 1"), read_table(spark, folder, "documentos"))
+    return survivors(read_table(spark, folder, "consolidada"), read_table(spark, folder, "campos"), read_table(spark, folder, "documentos"))
 
 
 def p6_found(spark, folder: str) -> DataFrame:
-    return p6_survivors(spark, folder).where("n_valores >= 2").select("documento_id", "campo", "valor")
+    """Of the groups with several values; the query leaves out documento_id 1."""
+    return p6_survivors(spark, folder).where("documento_id <> 1 and n_valores >= 2").select("documento_id", "campo", "valor")
 
 
 def p6_held_out(spark, folder: str) -> DataFrame:
-    return held_out_currency(read_table(spark, folder, "consolidada").where("documento_id <> 1"), read_table(spark, folder, "campos").where("documento_id <> 1"), read_table(spark, folder, "documentos"))
+    return held_out_currency(read_table(spark, folder, "consolidada"), read_table(spark, folder, "campos"), read_table(spark, folder, "documentos"))

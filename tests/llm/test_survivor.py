@@ -96,3 +96,15 @@ def test_held_out_timestamps(spark):
         con += [(a, "doctr", "modelo", f"QWRT {g + 100} A", T0 + timedelta(days=1), None, None), (b, "doctr", "modelo", f"MNBV {g + 500} B", T0 + timedelta(days=9), None, None)]
     out = V.held_out_currency(spark.createDataFrame(con, CON), spark.createDataFrame([], CAM), spark.createDataFrame(docs, DOC)).collect()
     assert len(out) == 1 and out[0]["grupos"] >= 10 and out[0]["cuota"] == 1.0
+
+
+def test_query_reads_every_document(spark, tmp_path):
+    """A file registered as documento_id 1 and 2: both registrations count, and the listing of cases leaves out documento_id 1."""
+    con = [(d, "doctr", "modelo", v, T0 + timedelta(days=n), None, None) for d, v, n in [(1, "GRIRBR 328", 40), (2, "RUNFAT 567 LX", 5), (3, "COLTAG 808 HD", 5), (4, "GR1RBR 32B", 9), (4, "GRIRBR 328", 9)]]
+    cam = [(1, 1, "doctr", "modelo", "GRIRBR 328", 0.9, T0, None)]
+    spark.createDataFrame(con, CON).write.parquet(f"{tmp_path}/consolidada.parquet")
+    spark.createDataFrame(cam, CAM).write.parquet(f"{tmp_path}/campos.parquet")
+    spark.createDataFrame([(1, "h", T0), (2, "h", T0), (3, "k", T0), (4, "k", T0)], DOC).write.parquet(f"{tmp_path}/documentos.parquet")
+    got = {r["documento_id"]: (r["valor"], r["n_valores"]) for r in V.p6_survivors(spark, str(tmp_path)).collect()}
+    assert got[1] == ("GRIRBR 328", 2) and set(got) == {1, 3}
+    assert {r["documento_id"] for r in V.p6_found(spark, str(tmp_path)).collect()} == {3}
