@@ -3,7 +3,7 @@
 Distinct strings are parsed into parts (persons: given names and surnames; firms: trade, own words, legal form). Strings
 with equal parts are one class. The distinct words that distinguish names (surnames, own words, given names that are not
 common) are banded by MinHashes over their padded q-grams, the number of bands following from the collision curve; words
-that share a band and are similar are twins. Classes are candidates if all of their leading words are twins and the other
+that share a band in a context that both occur in (a given name's initial, a firm's trade) and are similar are twins. Classes are candidates if all of their leading words are twins and the other
 parts (given name or initial, trade, legal form) can be the same: an equi-join on composite keys, so that a surname that
 a third of all names has is no bucket of all pairs. A pair is verified by Monge-Elkan similarity of its parts, and the
 verified links are cut into stars around the most complete spellings.
@@ -331,6 +331,16 @@ def qgrams(words: list[str], q: int = Q) -> set[str]:
     return out
 
 
+def letters_mask(w: str) -> int:
+    """A signed 64-bit set of a word's letters, repeated ones counted up to twice: one edit changes at most two bits, a swap of neighbours none."""
+    seen: dict[str, int] = {}
+    bits = 0
+    for c in w:
+        n = seen[c] = seen.get(c, -1) + 1
+        bits |= 1 << (2 * (ord(c) - 65) + n if "A" <= c <= "Z" and n < 2 else 52 + (ord(c) + n) % 12)
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
 class MinHasher:
     def __init__(self, bands: int, rows: int = ROWS, seed: int = 13):
         rng = np.random.default_rng(seed)
@@ -382,35 +392,82 @@ def stars(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.select("key").join(chosen, "key", "left").select("key", F.coalesce("center", "key").alias("center"))
 
 
+def contexts(keys: DataFrame) -> DataFrame:
+    """(w, k, seek, offer): the distinct words of keys (seek, h, a, b, c) with the contexts in which they are sought or offered.
+
+    A context follows from h and the word's place: a firm's trade, or the given name's initial and which part the word is
+    (all shapes of a key together, the two places of a firm's pair together). Words of one h and place share it.
+    """
+    shape, place = F.substring_index("h", "|", -1), F.col("p.place")
+    part = F.when(place == 0, F.when(shape == "J", "J").when(shape == "2d", "1").otherwise("0")).when((place == 1) & (shape == "2"), "1").otherwise("g")
+    k = F.when(F.startswith("h", F.lit("F|")), F.concat(F.split("h", r"\|")[1], F.when(shape == "J", "|FJ").otherwise("|F"))).otherwise(F.concat(F.substring("h", 3, 1), F.lit("|P"), part))
+    words = keys.select("seek", "h", F.explode(F.array(*[F.struct(F.lit(i).alias("place"), F.col(x).alias("w")) for i, x in enumerate("abc")])).alias("p"))
+    return words.where("p.w <> ''").groupBy("p.w", k.alias("k")).agg(F.max("seek").alias("seek"), F.max(~F.col("seek")).alias("offer"))
+
+
 def twins(words: DataFrame, hasher: MinHasher, least: float = 0.6) -> DataFrame:
-    """(w, t): words (distinct, column w) with those similar to them, themselves among them. Each word is hashed once; a band's bucket holds each spelling once."""
+    """(w, t): words (w, k, seek, offer) with those similar to them, themselves among them; words that no context k has one sought and the other offered aren't compared.
+
+    Each word is hashed once; a band's bucket holds each spelling of a context once. Without contexts the buckets would
+    fill as the words get denser, and the pairs in them grow with the square of the words.
+    """
 
     def banded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for w in b["w"]:
-                s = skeleton_text(w)
-                forms = (w, s, "".join(sorted(w)), "".join(sorted(s)))
-                out += [(*forms, k * 4_294_967_296 + h) for k, h in enumerate(hasher.keys(qgrams([w])))]
-            yield pd.DataFrame(out, columns=["w", "s", "wo", "so", "h"])
-
-    buckets = cut(shuffled(words).mapInPandas(banded, "w string, s string, wo string, so string, h long"))
-    met = buckets.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
-    live = buckets.join(met, "h", "left_semi")
+            sk = [skeleton_text(w) for w in b["w"]]
+            forms = {"s": sk, "wo": ["".join(sorted(w)) for w in b["w"]], "so": ["".join(sorted(s)) for s in sk], "wm": [letters_mask(w) for w in b["w"]], "sm": [letters_mask(s) for s in sk]}
+            yield b.assign(**forms, hs=[[k * 4_294_967_296 + h for k, h in enumerate(hasher.keys(qgrams([w])))] for w in b["w"]])
+
+    by_word = words.groupBy("w").agg(F.collect_list(F.struct("k", "seek", "offer")).alias("ks")).withColumn("i", F.xxhash64("w"))
+    forms = cut(shuffled(by_word).mapInPandas(banded, "w string, ks array<struct<k: string, seek: boolean, offer: boolean>>, i long, s string, wo string, so string, wm long, sm long, hs array<long>"))
+
+    def buckets(side: str) -> DataFrame:
+        rows = forms.select("i", F.expr(f"transform(filter(ks, x -> x.{side}), x -> xxhash64(x.k))").alias("ks"), "hs").where(F.size("ks") > 0)
+        return rows.select("i", F.explode("ks").alias("k"), "hs").select("i", "k", F.explode("hs").alias("h")).select("i", F.xxhash64("h", "k").alias("h"))
+
+    met = buckets("seek").join(buckets("offer").withColumnRenamed("i", "j"), "h").where("i <> j").select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).distinct()
     # as many edits as word_similarity allows; a swap of neighbours is two of these edits, and leaves the letters the same
     can = []
+    # most that share a band differ in more letters than the edits allow; that is seen from their masks
+    longest = "greatest(length(x.w), length(y.w), length(x.s), length(y.s))"
+    bits = f"CASE WHEN {longest} < 5 THEN 2 WHEN {longest} < 9 THEN 4 ELSE 6 END"
+    masks = f"least(bit_count(x.wm ^ y.wm), bit_count(x.sm ^ y.sm)) <= {bits}"
     for c, o in (("w", "wo"), ("s", "so")):
         most = f"CASE WHEN greatest(length(x.{c}), length(y.{c})) < 5 THEN 1 WHEN greatest(length(x.{c}), length(y.{c})) < 9 THEN 2 ELSE 3 END"
         d = f"levenshtein(x.{c}, y.{c}, 2 * {most})"
         can.append(f"(abs(length(x.{c}) - length(y.{c})) <= {most} and {d} >= 0 and ({d} <= {most} or levenshtein(x.{o}, y.{o}, 2 * (2 * {most} - {d})) >= 0))")
-    near = live.alias("x").join(live.alias("y"), F.expr(f"x.h = y.h and x.w < y.w and ({' or '.join(can)})")).select(F.col("x.w").alias("w"), F.col("y.w").alias("t")).distinct()
+    form = forms.select("i", "w", "s", "wo", "so", "wm", "sm")
+    near = met.alias("m").join(form.alias("x"), F.expr("m.i = x.i")).join(form.alias("y"), F.expr(f"m.j = y.i and {masks} and ({' or '.join(can)})")).select(F.col("x.w").alias("w"), F.col("y.w").alias("t"))
 
     def similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield b[[word_similarity(x, y) >= least for x, y in zip(b["w"], b["t"])]]
 
     close = cut(shuffled(near).mapInPandas(similar, "w string, t string"))
-    return cut(close.union(close.select(F.col("t").alias("w"), F.col("w").alias("t"))).union(words.select("w", F.col("w").alias("t"))))
+    return cut(close.union(close.select(F.col("t").alias("w"), F.col("w").alias("t"))).union(forms.select("w", F.col("w").alias("t"))))
+
+
+def with_twins(sought: DataFrame, offered: DataFrame, like: DataFrame) -> DataFrame:
+    """sought (m, h, a, b, c) with each word put as every one of its twins (like) that is offered under the same h in that place.
+
+    Twins grow in number with the words that there are, and so do a key's by the power of its words. Few of them are
+    offered beside the same given name or trade: those not offered go before the next word is put.
+    """
+    # the two words of a firm's pair stand in order, so that either may be in either place
+    firm = F.startswith("h", F.lit("F|"))
+    places = F.array(*[F.struct(F.when(firm, 0).otherwise(i).alias("place"), F.col(x).alias("w")) for i, x in enumerate("abc")])
+    there = cut(offered.select("h", F.explode(places).alias("p")).select("h", "p.place", "p.w").where("w <> ''").distinct())
+
+    def put(keys: DataFrame, i: int, x: str) -> DataFrame:
+        as_twin = keys.join(like.select(F.col("w").alias(x), F.col("t").alias("t" + x)), x).drop(x).withColumnRenamed("t" + x, x)
+        found = there.withColumnsRenamed({"w": x, "place": "at"})
+        return as_twin.withColumn("at", F.when(firm, 0).otherwise(i)).join(found, ["h", "at", x], "left_semi").select("m", "h", "a", "b", "c")
+
+    first = cut(put(sought, 0, "a"))
+    two = put(first.where("b <> '' and c = ''"), 1, "b")
+    three = put(put(first.where("b <> '' and c <> ''"), 1, "b"), 2, "c")
+    swapped = firm & (F.col("b") != "") & (F.col("a") > F.col("b"))
+    return first.where("b = ''").union(two).union(three).select("m", "h", F.when(swapped, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swapped, F.col("a")).otherwise(F.col("b")).alias("b"), "c")
 
 
 def link_names(names: DataFrame, accept: float = 0.8) -> DataFrame:
@@ -437,15 +494,10 @@ def link_names(names: DataFrame, accept: float = 0.8) -> DataFrame:
 
     numbered = cut(nodes.withColumn("node", F.xxhash64("key")))
     keys = cut(spread(numbered.select("node", "name")).mapInPandas(sides, "node long, seek boolean, h string, a string, b string, c string"))
-    like = twins(keys.where("seek").select(F.explode(F.array("a", "b", "c")).alias("w")).union(keys.where("not seek").select(F.explode(F.array("a", "b", "c")))).where("w <> ''").distinct(), hasher)
-    like = like.union(like.sparkSession.createDataFrame([("", "")], "w string, t string"))
-    sought = keys.where("seek").select("node", "h", "a", "b", "c")
-    for x in ("a", "b", "c"):
-        sought = sought.join(like.select(F.col("w").alias(x), F.col("t").alias("t" + x)), x).drop(x).withColumnRenamed("t" + x, x)
-    # the two words of a firm's pair stand in order
-    firm = F.startswith("h", F.lit("F|")) & (F.col("b") != "") & (F.col("a") > F.col("b"))
-    sought = sought.select(F.col("node").alias("m"), "h", F.when(firm, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(firm, F.col("a")).otherwise(F.col("b")).alias("b"), "c").distinct()
-    met = sought.join(keys.where("not seek").select(F.col("node").alias("n"), "h", "a", "b", "c"), ["h", "a", "b", "c"]).where("m <> n")
+    like = twins(contexts(keys), hasher)
+    offered = keys.where("not seek").select(F.col("node").alias("n"), "h", "a", "b", "c")
+    sought = with_twins(keys.where("seek").select(F.col("node").alias("m"), "h", "a", "b", "c"), offered, like)
+    met = sought.join(offered, ["h", "a", "b", "c"]).where("m <> n")
     pairs = met.select(F.least("m", "n").alias("m"), F.greatest("m", "n").alias("n")).distinct()
     named = numbered.select("node", "key", "name")
     pairs = pairs.join(named.select(F.col("node").alias("m"), F.col("key").alias("a"), F.col("name").alias("p")), "m").join(named.select(F.col("node").alias("n"), F.col("key").alias("b"), F.col("name").alias("q")), "n")

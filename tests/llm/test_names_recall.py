@@ -109,3 +109,21 @@ def test_long_rank_chains(spark):
     edges = spark.createDataFrame([(f"{i:03d}", f"{i + 1:03d}", 0.9) for i in range(n - 1)], "a string, b string, s double")
     got = {r["key"]: r["center"] for r in N.stars(nodes, edges).collect()}
     assert [k for k, c in sorted(got.items()) if k == c] == [f"{i:03d}" for i in range(1, n, 2)]
+
+
+def test_words_of_other_names_are_no_partners(spark, monkeypatch):
+    """Surnames so dense that nearly all are alike: those that no given name's initial has in common aren't compared, nor do keys grow by them."""
+    given = ["ANA", "BLAS", "CARLA", "DIEGO", "ELSA", "FELIX", "GLORIA", "HUGO", "IRENE", "JORGE", "KAREN", "LUIS", "MARTA", "NESTOR", "OLGA", "PABLO", "QUINO", "RAUL", "SARA", "TOMAS"]
+    words = [f"PLA{v}{c}{u}GAR" for v in "AEIOU" for c in "BCDFGLMNRS" for u in "AEIO"]
+    names = [f"{given[i % len(given)]} {words[i]} {words[(7 * i + 3) % len(words)]}" for i in range(len(words))]
+    tables, cut = [], N.cut
+
+    def seen(df):
+        tables.append(cut(df))
+        return tables[-1]
+
+    monkeypatch.setattr(N, "cut", seen)
+    linked = N.link_names(spark.createDataFrame([(v,) for v in names], "nombre string"))
+    assert linked.count() == len(names)
+    alike = max(t.count() for t in tables if t.columns == ["w", "t"])
+    assert alike < 25 * len(words)
